@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.layout import rebalance
@@ -87,15 +88,29 @@ def last_version(spark: SparkSession, root: str, below: int | None = None) -> in
     return max((v for v in found if below is None or v < below), default=None)
 
 
-def _live_partitions(spark: SparkSession, root: str, version: int) -> DataFrame:
-    """Which version serves each partition as of a commit: one small row per partition."""
-    return spark.read.parquet(f"{root}/commits/{VERSION}={version}")
+def _partition_values(rows: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
+    """Distinct partition values; bounded by the number of folders of the table."""
+    return [tuple(r) for r in rows.select(*partition_by).distinct().collect()]
 
 
-def _rows_of(spark: SparkSession, root: str, live: DataFrame, partition_by) -> DataFrame:
-    """Data of the live partitions; they prune the scan when it runs."""
-    data = spark.read.parquet(f"{root}/data")
-    return data.join(live, [*partition_by, VERSION], "left_semi").drop(VERSION)
+def _live_partitions(
+    spark: SparkSession, root: str, version: int, partition_by: Sequence[str]
+) -> dict[tuple, int]:
+    """Partition values to the version that serves them, as of a commit."""
+    rows = spark.read.parquet(f"{root}/commits/{VERSION}={version}")
+    return {tuple(r[c] for c in partition_by): r[VERSION] for r in rows.collect()}
+
+
+def _read_partitions(
+    spark: SparkSession, root: str, live: dict[tuple, int], partition_by: Sequence[str]
+) -> DataFrame:
+    """Data of exactly these folders: nothing else is listed, let alone read."""
+    data = f"{root}/data"
+    folders = [
+        "/".join([data, f"{VERSION}={v}", *(f"{c}={x}" for c, x in zip(partition_by, values))])
+        for values, v in live.items()
+    ]
+    return spark.read.option("basePath", data).parquet(*folders).drop(VERSION)
 
 
 def read_current(
@@ -105,8 +120,8 @@ def read_current(
     last = last_version(spark, root, below)
     if last is None:
         return None
-    live = _live_partitions(spark, root, last).where(F.col(VERSION) <= last)
-    return _rows_of(spark, root, live, partition_by)
+    live = _live_partitions(spark, root, last, partition_by)
+    return _read_partitions(spark, root, live, partition_by)
 
 
 def merge_version(
@@ -121,24 +136,32 @@ def merge_version(
     """Write version ``version`` of the table at ``root`` and commit it.
 
     ``staged`` holds one row per key and is read from disk, as it is used more
-    than once. ``partition_by`` must follow from the key, so that a key never
-    moves to another partition. The merge reads only versions below its own:
-    running it again gives the same rows and the same commit.
+    than once. ``partition_by`` names integer columns that follow from the key, so
+    that a key never moves to another partition. The merge reads only versions
+    below its own: running it again gives the same rows and the same commit.
     """
-    on = list(partition_by)
-    touched = staged.select(*on).distinct()
-    commit = touched.withColumn(VERSION, F.lit(version))
-    merged = staged
+    fields = [staged.schema[c] for c in partition_by]
+    if not fields or not all(isinstance(f.dataType, T.IntegerType) for f in fields):
+        raise ValueError("partition_by must name integer columns")
+    touched = _partition_values(staged, partition_by)
+    if not touched:
+        return
     last = last_version(spark, root, below=version)
-    if last is not None:
-        live = _live_partitions(spark, root, last)
-        base = _rows_of(spark, root, live.join(touched, on, "left_semi"), on)
+    live = {} if last is None else _live_partitions(spark, root, last, partition_by)
+    replaced = {p: live[p] for p in touched if p in live}
+    merged = staged
+    if replaced:
+        base = _read_partitions(spark, root, replaced, partition_by)
         merged = upsert_staged(base, staged, keys, order)
-        commit = commit.unionByName(live.join(touched, on, "left_anti"))
     (
-        rebalance(merged.select(*staged.columns), on)
+        rebalance(merged.select(*staged.columns), partition_by)
         .write.mode("overwrite")
-        .partitionBy(*on)
+        .partitionBy(*partition_by)
         .parquet(f"{root}/data/{VERSION}={version}")
     )
+    live.update(dict.fromkeys(touched, version))
+    commit = spark.createDataFrame(
+        [(*values, v) for values, v in live.items()],
+        T.StructType([*fields, T.StructField(VERSION, T.IntegerType())]),
+    )
     commit.coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/{VERSION}={version}")

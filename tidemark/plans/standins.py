@@ -38,6 +38,11 @@ def _period() -> Column:
     return code
 
 
+def _document(unique_id: str) -> Column:
+    """Document of a unique id: at most IDS_PER_DOCUMENT rows share one."""
+    return F.expr(f"cast({unique_id} as bigint) div {IDS_PER_DOCUMENT}")
+
+
 def points(events: DataFrame) -> DataFrame:
     """One payload point per event, with the event's id and time kept alongside."""
     return events.select(
@@ -59,11 +64,11 @@ def nested_payloads(events: DataFrame) -> DataFrame:
     One shuffle: rows placed by document are already together per document and
     series as well.
     """
-    document = F.floor(F.col("event_id") / IDS_PER_DOCUMENT)
-    point = F.struct("year", "period", "periodName", "value", "latest", "footnotes")
+    notes = F.transform("footnotes", lambda note: F.struct(note["text"].alias("text")))
+    point = F.struct("year", "period", "periodName", "value", "latest", notes.alias("footnotes"))
     by_series = (
         points(events)
-        .withColumn("document", document)
+        .withColumn("document", _document("event_id"))
         .repartition("document")
         .groupBy("document", "seriesID")
         .agg(F.sort_array(F.collect_list(F.struct("event_id", point.alias("p")))).alias("rows"))
@@ -98,7 +103,7 @@ def tabular_payloads(orders: DataFrame) -> DataFrame:
     cells = F.array(*C.FACT_RAW_COLUMNS)
     header = F.array(*[F.lit(c) for c in C.FACT_RAW_COLUMNS])
     rows = fact_raw(orders).select(
-        F.floor(F.col("error_data").cast("long") / IDS_PER_DOCUMENT).alias("document"),
+        _document("error_data").alias("document"),
         cells.alias("cells"),
     )
     return (

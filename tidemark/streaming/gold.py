@@ -8,6 +8,8 @@ beyond it.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +18,7 @@ from tidemark import contracts as C
 from tidemark.functions import calendar
 from tidemark.operators import gate, merge
 from tidemark.operators.latest import latest_per_key
+from tidemark.operators.layout import write_partitioned
 from tidemark.sources.streams import read_files
 from tidemark.streaming.runs import start
 from tidemark.streaming.silver import BATCH
@@ -35,24 +38,30 @@ def latest_series_of(rows: DataFrame) -> DataFrame:
     return latest_per_key(rows, ("series_id",), LATEST_ORDER[:1], LATEST_ORDER[1:])
 
 
-def _history_below(spark: SparkSession, history: str, epoch: int) -> DataFrame | None:
-    if not exists(spark, history):
+def _held_on(
+    spark: SparkSession, history: str, days: list[dt.date], below: int
+) -> DataFrame | None:
+    """Held rows of some ingest days, from batches before ``below``."""
+    folders = [f for f in (f"{history}/{DAY}={day}" for day in days) if exists(spark, f)]
+    if not folders:
         return None
-    return spark.read.parquet(history).where(F.col(BATCH) < epoch)
+    return spark.read.option("basePath", history).parquet(*folders).where(F.col(BATCH) < below)
 
 
 def append_history(spark: SparkSession, history: str, staged: DataFrame, epoch: int) -> None:
     """Add the staged rows whose (series, instant) is not held yet.
 
-    Held rows are looked up on the ingest days of the batch only: the day is part
-    of the path and its semi-join prunes the scan. A replay ignores its own rows.
+    The instant is part of the key, so held rows are looked up on the ingest days
+    of the batch only; the list of days is short. A replay ignores its own rows
+    and replaces them.
     """
-    rows = staged.withColumn(DAY, calendar.utc_wall_clock(F.col("ts_ingested")).cast("date"))
-    held = _history_below(spark, history, epoch)
+    day = calendar.utc_wall_clock(F.col("ts_ingested")).cast("date")
+    rows = staged.withColumns({DAY: day, BATCH: F.lit(epoch)})
+    days = [r[0] for r in rows.select(DAY).distinct().collect()]
+    held = _held_on(spark, history, days, epoch)
     if held is not None:
-        same_days = held.join(rows.select(DAY).distinct(), DAY, "left_semi")
-        rows = merge.insert_if_absent(same_days, rows, C.SERIES_HISTORY.keys)
-    rows.write.mode("overwrite").partitionBy(DAY).parquet(f"{history}/{BATCH}={epoch}")
+        rows = merge.insert_if_absent(held, rows, C.SERIES_HISTORY.keys)
+    write_partitioned(rows, history, (DAY, BATCH), replace_all=False)
 
 
 def write_gold_batch(
