@@ -8,6 +8,7 @@ under a new version so a reader or a failed run never sees half a merge.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.layout import rebalance
-from tidemark.workspace import hadoop_path
+from tidemark.workspace import hadoop_path, read_text, write_text
 
 VERSION = "version"
 
@@ -81,47 +82,44 @@ def upsert_staged(
 
 
 def last_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """Highest committed version (below a given one), from folder names alone."""
-    fs, pattern = hadoop_path(spark, f"{root}/commits/{VERSION}=*/_SUCCESS")
+    """Highest committed version (below a given one), from file names alone."""
+    fs, pattern = hadoop_path(spark, f"{root}/commits/*.json")
     done = fs.globStatus(pattern) or []
-    found = [int(f.getPath().getParent().getName().split("=")[1]) for f in done]
+    found = [int(f.getPath().getName().removesuffix(".json")) for f in done]
     return max((v for v in found if below is None or v < below), default=None)
 
 
-def _partition_values(rows: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
-    """Distinct partition values; bounded by the number of folders of the table."""
-    return [tuple(r) for r in rows.select(*partition_by).distinct().collect()]
-
-
-def _live_partitions(
-    spark: SparkSession, root: str, version: int, partition_by: Sequence[str]
-) -> dict[tuple, int]:
-    """Partition values to the version that serves them, as of a commit."""
-    rows = spark.read.parquet(f"{root}/commits/{VERSION}={version}")
-    return {tuple(r[c] for c in partition_by): r[VERSION] for r in rows.collect()}
+def _live_partitions(spark: SparkSession, root: str, version: int | None) -> dict[str, int]:
+    """Partition folder to the version that serves it, as of a commit."""
+    return {} if version is None else json.loads(read_text(spark, f"{root}/commits/{version}.json"))
 
 
 def _read_partitions(
-    spark: SparkSession, root: str, live: dict[tuple, int], partition_by: Sequence[str]
+    spark: SparkSession, root: str, live: dict[str, int], schema: T.StructType | None = None
 ) -> DataFrame:
     """Data of exactly these folders: nothing else is listed, let alone read."""
     data = f"{root}/data"
-    folders = [
-        "/".join([data, f"{VERSION}={v}", *(f"{c}={x}" for c, x in zip(partition_by, values))])
-        for values, v in live.items()
-    ]
-    return spark.read.option("basePath", data).parquet(*folders).drop(VERSION)
+    folders = [f"{data}/{VERSION}={version}/{folder}" for folder, version in live.items()]
+    reader = spark.read.option("basePath", data)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(*folders).drop(VERSION)
+
+
+def partition_folders(rows: DataFrame, partition_by: Sequence[str]) -> list[str]:
+    """Folders a batch touches. The driver holds one short name per folder of the
+    table, as it does for any partitioned table it plans a scan of."""
+    fields = [rows.schema[c].dataType for c in partition_by]
+    if not fields or not all(isinstance(t, T.IntegerType) for t in fields):
+        raise ValueError("partition_by must name integer columns")
+    values = rows.select(*partition_by).distinct().collect()
+    return ["/".join(f"{c}={r[c]}" for c in partition_by) for r in values]
 
 
-def read_current(
-    spark: SparkSession, root: str, partition_by: Sequence[str], below: int | None = None
-) -> DataFrame | None:
+def read_current(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
     """The table as of the last commit (or the last one below a version), else None."""
     last = last_version(spark, root, below)
-    if last is None:
-        return None
-    live = _live_partitions(spark, root, last, partition_by)
-    return _read_partitions(spark, root, live, partition_by)
+    return None if last is None else _read_partitions(spark, root, _live_partitions(spark, root, last))
 
 
 def merge_version(
@@ -132,26 +130,25 @@ def merge_version(
     version: int,
     partition_by: Sequence[str],
     order: Sequence[str] = (),
+    touched: Sequence[str] | None = None,
 ) -> None:
     """Write version ``version`` of the table at ``root`` and commit it.
 
     ``staged`` holds one row per key and is read from disk, as it is used more
     than once. ``partition_by`` names integer columns that follow from the key, so
-    that a key never moves to another partition. The merge reads only versions
-    below its own: running it again gives the same rows and the same commit.
+    that a key never moves to another partition; ``touched`` saves looking up the
+    folders they name. The merge reads only versions below its own: running it
+    again gives the same rows and the same commit.
     """
-    fields = [staged.schema[c] for c in partition_by]
-    if not fields or not all(isinstance(f.dataType, T.IntegerType) for f in fields):
-        raise ValueError("partition_by must name integer columns")
-    touched = _partition_values(staged, partition_by)
+    if touched is None:
+        touched = partition_folders(staged, partition_by)
     if not touched:
         return
-    last = last_version(spark, root, below=version)
-    live = {} if last is None else _live_partitions(spark, root, last, partition_by)
-    replaced = {p: live[p] for p in touched if p in live}
+    live = _live_partitions(spark, root, last_version(spark, root, below=version))
+    replaced = {folder: live[folder] for folder in touched if folder in live}
     merged = staged
     if replaced:
-        base = _read_partitions(spark, root, replaced, partition_by)
+        base = _read_partitions(spark, root, replaced, staged.schema)
         merged = upsert_staged(base, staged, keys, order)
     (
         rebalance(merged.select(*staged.columns), partition_by)
@@ -160,8 +157,4 @@ def merge_version(
         .parquet(f"{root}/data/{VERSION}={version}")
     )
     live.update(dict.fromkeys(touched, version))
-    commit = spark.createDataFrame(
-        [(*values, v) for values, v in live.items()],
-        T.StructType([*fields, T.StructField(VERSION, T.IntegerType())]),
-    )
-    commit.coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/{VERSION}={version}")
+    write_text(spark, f"{root}/commits/{version}.json", json.dumps(live))

@@ -109,14 +109,14 @@ def build_gold(
         f"{gold}/rejects/version={version}"
     )
     staging = f"{gold}/staging/version={version}"
-    fact_delta(rows).write.mode("overwrite").parquet(staging)
-    merge.merge_version(
-        spark, gold, spark.read.parquet(staging), C.FACT.keys, version, FACT_PARTITIONS
-    )
+    delta = fact_delta(rows)
+    delta.write.mode("overwrite").parquet(staging)
+    staged = spark.read.schema(delta.schema).parquet(staging)
+    merge.merge_version(spark, gold, staged, C.FACT.keys, version, FACT_PARTITIONS)
 
 
 def read_gold(spark: SparkSession, gold: str) -> DataFrame | None:
-    fact = merge.read_current(spark, gold, FACT_PARTITIONS)
+    fact = merge.read_current(spark, gold)
     return None if fact is None else fact.select(*C.FACT_GOLD_COLUMNS)
 
 

@@ -267,7 +267,7 @@ def upsert_snapshot(spark, sf):
         feed.withColumn("bucket", bucket).write.parquet(staging)
         staged = spark.read.parquet(staging)
         merge.merge_version(spark, root, staged, ("user_id",), version, ("bucket",))
-    return merge.read_current(spark, root, ("bucket",)).select(*EVENT_COLUMNS)
+    return merge.read_current(spark, root).select(*EVENT_COLUMNS)
 
 
 @query
@@ -402,14 +402,13 @@ def dim_date(spark, sf):
     return serving.dim_date(_orders(spark, sf), "o_orderdate")
 
 
-def _silver(events):
-    decoded = messages.decode_messages(S.messages(events))
-    return silver.latest_points_of(messages.type_points(decoded))
+def _decoded(spark, sf):
+    return messages.decode_messages(S.messages(_events(spark, sf)))
 
 
 def _valid_serving(spark, sf):
-    rows = gold.serving_rows(_silver(_events(spark, sf)))
-    return gate.valid_rows(rows, C.SERIES_LATEST)
+    points = silver.latest_points_of(messages.type_points(_decoded(spark, sf)))
+    return gate.valid_rows(gold.serving_rows(points), C.SERIES_LATEST)
 
 
 @query
@@ -436,12 +435,13 @@ def stream_bronze(spark, sf):
     return S.shown(spark.read.parquet(f"{root}/bronze"))
 
 
-def _land(spark, sf, path, only_shift=None):
-    events = _events(spark, sf)
-    if only_shift is not None:
-        events = events.where(S.shift() == only_shift)
-    decoded = messages.decode_messages(S.messages(events))
-    decoded.write.mode("append").parquet(path)
+def _arrivals(spark, sf, root):
+    """Bronze rows of each shift in turn; decoded once, together all of the events."""
+    shift = S.shift(calendar.utc_wall_clock(calendar.instant(F.col("ts_ingested"))))
+    rows = _decoded(spark, sf).withColumn("shift", shift)
+    rows.write.partitionBy("shift").parquet(f"{root}/arrivals")
+    for arrival in S.SHIFTS:
+        yield spark.read.schema(C.STREAM_BRONZE_SCHEMA).parquet(f"{root}/arrivals/shift={arrival}")
 
 
 def _run_silver(spark, root):
@@ -453,8 +453,8 @@ def _run_silver(spark, root):
 @query
 def stream_silver_latest(spark, sf):
     root = new_folder(spark, "silver")
-    for arrival in S.SHIFTS:
-        _land(spark, sf, f"{root}/bronze", arrival)
+    for arrival in _arrivals(spark, sf, root):
+        arrival.write.mode("append").parquet(f"{root}/bronze")
         _run_silver(spark, root)
     return S.shown(spark.read.parquet(f"{root}/silver"))
 
@@ -462,7 +462,7 @@ def stream_silver_latest(spark, sf):
 @query
 def stream_restart(spark, sf):
     root = new_folder(spark, "restart")
-    _land(spark, sf, f"{root}/bronze")
+    _decoded(spark, sf).write.parquet(f"{root}/bronze")
     _run_silver(spark, root)
     _run_silver(spark, root)
     return S.shown(spark.read.parquet(f"{root}/silver"))
@@ -473,7 +473,7 @@ def stream_empty_source(spark, sf):
     root = new_folder(spark, "empty")
     ensure_folder(spark, f"{root}/bronze")
     _run_silver(spark, root)
-    _land(spark, sf, f"{root}/bronze")
+    _decoded(spark, sf).write.mode("append").parquet(f"{root}/bronze")
     _run_silver(spark, root)
     return S.shown(spark.read.parquet(f"{root}/silver"))
 
@@ -481,9 +481,9 @@ def stream_empty_source(spark, sf):
 def _run_gold(spark, sf, guard_recency=True):
     """Gold over three arrivals; each is one epoch."""
     root = new_folder(spark, "gold")
-    for arrival in S.SHIFTS:
-        part = _silver(_events(spark, sf).where(S.shift() == arrival))
-        part.write.parquet(f"{root}/silver/{silver.BATCH}={arrival}")
+    for epoch, arrival in enumerate(_arrivals(spark, sf, root)):
+        part = silver.latest_points_of(messages.type_points(arrival))
+        part.write.parquet(f"{root}/silver/{silver.BATCH}={epoch}")
         runs.wait(
             gold.stream_gold(
                 spark,

@@ -26,9 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shift() -> Column:
-    """Eight-hour shift of an event: three arrivals that interleave in time."""
-    return F.floor(F.hour("ts") / 8).cast("int")
+def shift(time: Column | None = None) -> Column:
+    """Eight-hour shift of a time: three arrivals that interleave in time."""
+    return F.floor(F.hour("ts" if time is None else time) / 8).cast("int")
 
 
 def _period() -> Column:

@@ -38,28 +38,19 @@ def latest_series_of(rows: DataFrame) -> DataFrame:
     return latest_per_key(rows, ("series_id",), LATEST_ORDER[:1], LATEST_ORDER[1:])
 
 
-def _held_on(
-    spark: SparkSession, history: str, days: list[dt.date], below: int
-) -> DataFrame | None:
-    """Held rows of some ingest days, from batches before ``below``."""
-    folders = [f for f in (f"{history}/{DAY}={day}" for day in days) if exists(spark, f)]
-    if not folders:
-        return None
-    return spark.read.option("basePath", history).parquet(*folders).where(F.col(BATCH) < below)
-
-
-def append_history(spark: SparkSession, history: str, staged: DataFrame, epoch: int) -> None:
+def append_history(
+    spark: SparkSession, history: str, staged: DataFrame, days: list[dt.date], epoch: int
+) -> None:
     """Add the staged rows whose (series, instant) is not held yet.
 
     The instant is part of the key, so held rows are looked up on the ingest days
-    of the batch only; the list of days is short. A replay ignores its own rows
-    and replaces them.
+    of the batch only. A replay ignores its own rows and replaces them.
     """
-    day = calendar.utc_wall_clock(F.col("ts_ingested")).cast("date")
-    rows = staged.withColumns({DAY: day, BATCH: F.lit(epoch)})
-    days = [r[0] for r in rows.select(DAY).distinct().collect()]
-    held = _held_on(spark, history, days, epoch)
-    if held is not None:
+    rows = staged.withColumn(BATCH, F.lit(epoch))
+    folders = [f for f in (f"{history}/{DAY}={day}" for day in days) if exists(spark, f)]
+    if folders:
+        reader = spark.read.option("basePath", history).schema(rows.schema)
+        held = reader.parquet(*folders).where(F.col(BATCH) < epoch)
         rows = merge.insert_if_absent(held, rows, C.SERIES_HISTORY.keys)
     write_partitioned(rows, history, (DAY, BATCH), replace_all=False)
 
@@ -73,24 +64,29 @@ def write_gold_batch(
     gate.rejected_rows(rows, C.SERIES_HISTORY).write.mode("overwrite").parquet(
         f"{gold}/rejects/{BATCH}={epoch}"
     )
-    changes = f"{gold}/changes/{BATCH}={epoch}"
-    bucket = F.pmod(F.xxhash64("series_id"), F.lit(buckets)).cast("int")
-    latest_series_of(gate.valid_rows(rows, C.SERIES_HISTORY)).withColumn(
-        BUCKET, bucket
-    ).write.mode("overwrite").parquet(changes)
-
-    staged = spark.read.parquet(changes)
-    if staged.isEmpty():
+    path = f"{gold}/changes/{BATCH}={epoch}"
+    changes = latest_series_of(gate.valid_rows(rows, C.SERIES_HISTORY)).withColumns(
+        {
+            BUCKET: F.pmod(F.xxhash64("series_id"), F.lit(buckets)).cast("int"),
+            DAY: calendar.utc_wall_clock(F.col("ts_ingested")).cast("date"),
+        }
+    )
+    changes.write.mode("overwrite").parquet(path)
+
+    staged = spark.read.schema(changes.schema).parquet(path)
+    days, touched = staged.agg(F.collect_set(DAY), F.collect_set(BUCKET)).first()
+    if not touched:
         return
-    append_history(spark, f"{gold}/history", staged.drop(BUCKET), epoch)
+    append_history(spark, f"{gold}/history", staged.drop(BUCKET), days, epoch)
     merge.merge_version(
         spark,
         f"{gold}/latest",
-        staged,
+        staged.drop(DAY),
         ("series_id",),
         epoch,
         (BUCKET,),
         LATEST_ORDER if guard_recency else (),
+        touched=[f"{BUCKET}={b}" for b in touched],
     )
 
 
@@ -129,5 +125,5 @@ def read_history(spark: SparkSession, gold: str) -> DataFrame | None:
 
 
 def read_latest(spark: SparkSession, gold: str) -> DataFrame | None:
-    latest = merge.read_current(spark, f"{gold}/latest", (BUCKET,))
+    latest = merge.read_current(spark, f"{gold}/latest")
     return None if latest is None else latest.select(*C.SERVING_COLUMNS)

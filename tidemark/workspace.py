@@ -45,3 +45,24 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
     fs, jvm_path = hadoop_path(spark, path)
     fs.mkdirs(jvm_path)
     return path
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place in one step: readers see all of it or none."""
+    fs, target = hadoop_path(spark, path)
+    _, part = hadoop_path(spark, f"{path}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise OSError(f"cannot rename to {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, source = hadoop_path(spark, path)
+    stream = fs.open(source)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
