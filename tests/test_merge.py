@@ -60,6 +60,7 @@ def test_insert_if_absent(spark):
     held = _frame(spark, [(1, 1, "held")])
     delta = _frame(spark, [(1, 2, "late"), (2, 1, "new")])
     assert _set(merge.insert_if_absent(held, delta, KEYS)) == {(2, 1, "new")}
+    assert _set(merge.insert_if_absent_staged(held, delta, KEYS)) == {(2, 1, "new")}
 
 
 def _staged(spark, path, rows):
@@ -130,6 +131,14 @@ def test_a_small_batch_does_not_shuffle_the_base(spark, tmp_path):
         assert merged.where("k = 1").first().ts == 2 and merged.count() == 100_000
 
 
+def test_held_keys_are_not_shuffled_for_a_small_batch(spark, tmp_path):
+    held = spark.range(100_000).select(F.col("id").cast("int").alias("k"))
+    staged = _staged(spark, str(tmp_path / "s"), [(1, 2, "a", 0), (-1, 2, "a", 0)])
+    new = merge.insert_if_absent_staged(held, staged, KEYS)
+    assert "Exchange hashpartitioning" not in new._jdf.queryExecution().executedPlan().toString()
+    assert [r.k for r in new.collect()] == [-1]
+
+
 def test_gate(spark):
     contract = C.Contract("t", keys=("k",), required=("a", "b"))
     df = spark.createDataFrame(

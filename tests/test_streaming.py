@@ -150,6 +150,26 @@ def test_one_file_per_micro_batch(spark, tmp_path):
     assert {r.batch_id for r in spark.read.parquet(str(tmp_path / "s")).collect()} == {0, 1, 2}
 
 
+def test_micro_batches_bounded_by_size(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for minute in range(3):
+        _land(spark, source, (minute, "A", "M01", float(minute)))
+    runs.wait(
+        silver.stream_silver(spark, source, str(tmp_path / "s"), str(tmp_path / "c"), max_bytes="1")
+    )
+    assert {r.batch_id for r in spark.read.parquet(str(tmp_path / "s")).collect()} == {0, 1, 2}
+    with pytest.raises(ValueError):
+        read_files(spark, source, C.STREAM_BRONZE_SCHEMA, 1, "1")
+
+
+def test_on_batch_gets_the_staged_rows(spark, tmp_path):
+    seen = {}
+    pipe = Pipe(spark, tmp_path, on_batch=lambda df, epoch: seen.update({epoch: df.collect()}))
+    pipe.run((1, "A", "M01", 1.0), (2, "A", "M02", 2.0), (1, "B", "Q01", 1.0))
+    assert [(r.series_id, r.value) for r in seen[0]] == [("A", 2.0)]
+    assert tuple(seen[0][0].asDict()) == C.SERVING_COLUMNS
+
+
 def test_bronze_decodes_and_appends(spark, tmp_path):
     source = str(tmp_path / "in")
     bodies = ['{"series_id":"A","year":"2024","is_latest":true}', "{broken"]

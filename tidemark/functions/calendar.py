@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-YEAR_MONTH = r"(?s)^\d{4}.\d{2}"
+YEAR_MONTH = r"(?s)^(?!0000)\d{4}.\d{2}"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def year_month_to_date(col: Column) -> Column:
+    """First day of a ``yyyy-MM`` month; anything else is NULL.
+
+    Four digits, any separator and two digits count; what follows is ignored. The
+    test by pattern is cheaper than letting a date parser fail on odd text.
+    """
+    text = F.concat_ws("-", F.substring(col, 1, 4), F.substring(col, 6, 2), F.lit("01"))
+    return F.when(col.rlike(YEAR_MONTH), text.try_cast("date"))
+
+
 def period_to_month(period: Column) -> Column:
     """Number in a monthly code ``Mnn``; other codes are NULL. ``M13`` gives 13."""
     return F.when(period.startswith("M"), F.substring(period, 2, 2).try_cast("int"))
@@ -23,17 +33,6 @@ def first_of_month(year: Column, month: Column) -> Column:
     return F.when(in_range, F.make_date(year, month, F.lit(1)))
 
 
-def year_month_to_date(col: Column) -> Column:
-    """First day of a ``yyyy-MM`` month; anything else is NULL.
-
-    Four digits, any separator and two digits count; what follows is ignored. The
-    test by pattern is cheaper than letting a date parser fail on odd text.
-    """
-    year = F.substring(col, 1, 4).try_cast("int")
-    month = F.substring(col, 6, 2).try_cast("int")
-    return F.when(col.rlike(YEAR_MONTH), first_of_month(year, month))
-
-
 def instant(col: Column) -> Column:
     """ISO-8601 text, with or without offset, to a timestamp."""
     return F.try_to_timestamp(col)

@@ -68,16 +68,17 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     A corrupt or NULL body becomes an all-NULL row with a false flag; it is kept
     here and turned away later by the contract of the serving table.
     """
-    parsed = F.from_json(typing.utf8(F.col("value")), MESSAGE_SCHEMA)
-    return messages.select(parsed.alias("j")).select("j.*").select(
-        "ts_ingested",
-        "series_id",
-        typing.integer(F.col("year")).alias("year"),
-        "period",
-        "periodName",
-        typing.number(F.col("value")).alias("value"),
-        "footnotes",
-        typing.flag_or_false(F.col("is_latest")).alias("is_latest"),
+    body = F.from_json(typing.utf8(F.col("value")), MESSAGE_SCHEMA)
+    return (
+        messages.select(body.alias("body"))
+        .select("body.*")
+        .withColumns(
+            {
+                "year": typing.integer(F.col("year")),
+                "value": typing.number(F.col("value")),
+                "is_latest": typing.flag_or_false(F.col("is_latest")),
+            }
+        )
     )
 
 
@@ -87,18 +88,14 @@ def type_points(bronze: DataFrame) -> DataFrame:
     Accepts the declared bronze schema as well as the all-text fallback.
     """
     month = calendar.period_to_month(F.col("period"))
-    return bronze.select(
-        calendar.instant(F.col("ts_ingested").cast("string")).alias("ts_ingested"),
-        F.col("series_id").cast("string").alias("series_id"),
-        typing.integer(F.col("year")).alias("year"),
-        F.col("period").cast("string").alias("period"),
-        F.col("periodName").cast("string").alias("periodName"),
-        typing.number(F.col("value")).alias("value"),
-        F.col("footnotes").cast("array<string>").alias("footnotes"),
-        F.col("is_latest").try_cast("boolean").alias("is_latest"),
-    ).withColumns(
+    typed = bronze.select(*MESSAGE_SCHEMA.names).withColumns(
         {
-            "month": month,
-            "dt": calendar.first_of_month(F.col("year"), month),
+            "ts_ingested": calendar.instant(F.col("ts_ingested").cast("string")),
+            "year": typing.integer(F.col("year")),
+            "value": typing.number(F.col("value")),
+            "is_latest": F.col("is_latest").try_cast("boolean"),
         }
     )
+    return typed.withColumns(
+        {"month": month, "dt": calendar.first_of_month(F.col("year"), month)}
+    )

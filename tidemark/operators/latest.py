@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+RANK = "_rank"
+
+
 def _total_order(recency: Sequence[str], tie: Sequence[str]) -> list[str]:
     if not recency or not tie:
         raise ValueError("recency and tie-breaking columns are both needed: ties are real")
@@ -29,7 +32,8 @@ def latest_per_key(
     """
     order = _total_order(recency, tie)
     window = Window.partitionBy(*keys).orderBy(*_newest_first(order))
-    return df.withColumn("rn", F.row_number().over(window)).where("rn = 1").drop("rn")
+    ranked = df.withColumn(RANK, F.row_number().over(window))
+    return ranked.where(F.col(RANK) == 1).drop(RANK)
 
 
 def latest_by_aggregate(

@@ -46,6 +46,18 @@ def insert_if_absent(held: DataFrame, delta: DataFrame, keys: Sequence[str]) ->
     return delta.join(held.select(*keys), list(keys), "left_anti")
 
 
+def insert_if_absent_staged(
+    held: DataFrame, staged: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """:func:`insert_if_absent` for a large ``held`` and a batch read from disk.
+
+    A small batch is broadcast and the held keys are streamed past it, so the
+    table is not shuffled to find the few keys that matter.
+    """
+    known = held.select(*keys).join(staged.select(*keys), list(keys), "left_semi")
+    return staged.join(known, list(keys), "left_anti")
+
+
 def _newer_or_equal(a: str, b: str, order: Sequence[str]) -> Column:
     def stamp(side: str) -> Column:
         return F.struct(*[F.col(f"{side}.{c}") for c in order])
@@ -119,7 +131,9 @@ def partition_folders(rows: DataFrame, partition_by: Sequence[str]) -> list[str]
 def read_current(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
     """The table as of the last commit (or the last one below a version), else None."""
     last = last_version(spark, root, below)
-    return None if last is None else _read_partitions(spark, root, _live_partitions(spark, root, last))
+    if last is None:
+        return None
+    return _read_partitions(spark, root, _live_partitions(spark, root, last))
 
 
 def merge_version(

@@ -81,8 +81,8 @@ def nested_payloads(events: DataFrame) -> DataFrame:
 def fact_raw(orders: DataFrame) -> DataFrame:
     """Orders as loosely typed fact rows: unknown flags, odd periods, comma numbers."""
     day = F.col("o_orderdate")
-    month = F.date_format(F.trunc(day, "quarter"), "yyyy-MM")
-    odd = F.concat(F.date_format(day, "yyyy"), F.lit("-Q1"))
+    month = F.substring(F.trunc(day, "quarter").cast("string"), 1, 7)
+    odd = F.concat(F.year(day).cast("string"), F.lit("-Q1"))
     return orders.select(
         F.lit("SM").alias("data_type_code"),
         F.dayofweek(day).cast("string").alias("time_slot_id"),

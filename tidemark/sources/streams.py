@@ -48,14 +48,23 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def read_files(
-    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
 ) -> DataFrame:
     """Parquet files of ``path`` as a stream with a declared schema.
 
     The folder is created if absent, so a job may start before its upstream.
-    ``max_files`` bounds a micro-batch; one file per batch is ``max_files=1``.
+    ``max_files`` or ``max_bytes`` bounds a micro-batch when a backlog is drained;
+    one file per batch is ``max_files=1``.
     """
+    if max_files is not None and max_bytes is not None:
+        raise ValueError("give max_files or max_bytes, not both")
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(ensure_folder(spark, path))

@@ -9,6 +9,7 @@ beyond it.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from tidemark.workspace import exists
 
 BUCKET = "bucket"
 DAY = "ingest_day"
+OnBatch = Callable[[DataFrame, int], None]
 LATEST_ORDER = ("ts_ingested", "year", "period", "value", "periodname", "is_latest", "footnotes")
 
 
@@ -51,12 +53,17 @@ def append_history(
     if folders:
         reader = spark.read.option("basePath", history).schema(rows.schema)
         held = reader.parquet(*folders).where(F.col(BATCH) < epoch)
-        rows = merge.insert_if_absent(held, rows, C.SERIES_HISTORY.keys)
+        rows = merge.insert_if_absent_staged(held, rows, C.SERIES_HISTORY.keys)
     write_partitioned(rows, history, (DAY, BATCH), replace_all=False)
 
 
 def write_gold_batch(
-    batch: DataFrame, epoch: int, gold: str, guard_recency: bool = True, buckets: int = 32
+    batch: DataFrame,
+    epoch: int,
+    gold: str,
+    guard_recency: bool = True,
+    buckets: int = 32,
+    on_batch: OnBatch | None = None,
 ) -> None:
     """History and latest of one micro-batch; running it again changes nothing."""
     spark = batch.sparkSession
@@ -88,6 +95,8 @@ def write_gold_batch(
         LATEST_ORDER if guard_recency else (),
         touched=[f"{BUCKET}={b}" for b in touched],
     )
+    if on_batch is not None:
+        on_batch(staged.select(*C.SERVING_COLUMNS), epoch)
 
 
 def stream_gold(
@@ -97,20 +106,24 @@ def stream_gold(
     checkpoint: str,
     every: str | None = None,
     max_files: int | None = None,
+    max_bytes: str | None = None,
     guard_recency: bool = True,
     buckets: int = 32,
+    on_batch: OnBatch | None = None,
 ) -> StreamingQuery:
     """Serve silver as history and latest.
 
     ``guard_recency=False`` lets a late older row replace a newer one, as a plain
     database upsert does. ``buckets`` must stay the same for the life of the
-    table; size it so that one bucket is a comfortable file or a few.
+    table; size it so that one bucket is a comfortable file or a few. ``on_batch``
+    gets the staged rows and the epoch after the commit, for example to copy them
+    to a database; it may see an epoch twice.
     """
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        write_gold_batch(batch, epoch, gold, guard_recency, buckets)
+        write_gold_batch(batch, epoch, gold, guard_recency, buckets, on_batch)
 
-    rows = read_files(spark, silver, C.STREAM_SILVER_SCHEMA, max_files)
+    rows = read_files(spark, silver, C.STREAM_SILVER_SCHEMA, max_files, max_bytes)
     writer = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return start(writer, every)
 

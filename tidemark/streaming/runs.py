@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-# Default trigger intervals of the layers.
-BRONZE_EVERY = "10 seconds"
-SILVER_EVERY = "5 seconds"
-GOLD_EVERY = "5 seconds"
+# Default trigger interval and time bound of the layers, in seconds.
+BRONZE_SECONDS, BRONZE_BOUND = 10, 60
+SILVER_SECONDS, SILVER_BOUND = 5, 90
+GOLD_SECONDS, GOLD_BOUND = 5, 90
 
 
 def start(writer: DataStreamWriter, every: str | None) -> StreamingQuery:

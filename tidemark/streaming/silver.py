@@ -25,9 +25,11 @@ def stream_silver(
     checkpoint: str,
     every: str | None = None,
     max_files: int | None = None,
+    max_bytes: str | None = None,
 ) -> StreamingQuery:
     """Each micro-batch owns the folder ``batch_id=<epoch>``: a replay replaces it."""
-    typed = type_points(read_files(spark, bronze, C.STREAM_BRONZE_SCHEMA, max_files))
+    source = read_files(spark, bronze, C.STREAM_BRONZE_SCHEMA, max_files, max_bytes)
+    typed = type_points(source)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
