@@ -14,8 +14,8 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[*]")
         .appName("tidemark-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", os.environ.get("TIDEMARK_TEST_ZONE", "UTC"))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")

@@ -38,7 +38,7 @@ def _brute(base, delta, guard):
     return set(out.values())
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(base=_table, delta=_table, guard=st.booleans())
 def test_upsert(spark, base, delta, guard):
     b, d = _frame(spark, base), _frame(spark, delta)
@@ -121,6 +121,14 @@ def test_partitions_must_be_integers(spark, tmp_path):
             merge.merge_version(spark, str(tmp_path / "t"), staged, KEYS, 1, columns)
 
 
+def test_too_fine_a_partitioning_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(merge, "MAX_FOLDERS", 2)
+    parts = spark.createDataFrame([(i,) for i in range(3)], "part int")
+    assert len(merge.partition_folders(parts.where("part < 2"), ("part",))) == 2
+    with pytest.raises(ValueError, match="too fine"):
+        merge.partition_folders(parts, ("part",))
+
+
 def test_a_small_batch_does_not_shuffle_the_base(spark, tmp_path):
     base = spark.range(100_000).select(F.col("id").cast("int").alias("k"), F.lit(1).alias("ts"))
     staged = _staged(spark, str(tmp_path / "s"), [(1, 2, "a", 0)]).select("k", "ts")

@@ -5,7 +5,8 @@ import pytest
 from tidemark import contracts as C
 from tidemark.operators import layout
 from tidemark.sources import streams, tables
-from tidemark.workspace import ensure_folder, exists, new_folder
+from tidemark.plans import catalog
+from tidemark.workspace import ensure_folder, exists, new_folder, shared_root
 
 
 def test_bootstrap_order():
@@ -44,6 +45,31 @@ def test_new_folder_follows_the_session(spark):
     assert exists(spark, first)
 
 
+class _Session:
+    """Just enough of a session to ask where shared files go."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.settings = {} if folder is None else {"spark.checkpoint.dir": folder}
+        self.conf = type("Conf", (), {"get": self.settings.get, "set": self.settings.__setitem__})
+
+
+def test_shared_root():
+    assert shared_root(_Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(_Session("yarn"))
+    local = _Session("local[2]")
+    assert shared_root(local) == shared_root(local)
+
+
+def test_tables_may_be_folders_of_files(spark, tmp_path):
+    """The catalogue reads and streams a table of many files as well as a single file."""
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    out = catalog.QUERIES["stream_bronze"](spark, str(tmp_path))
+    assert out.count() == events.count()
+
+
 def test_database_statements():
     columns = ["k", "a", "b"]
     assert layout.upsert_statement("gold.t", "staging.t", columns, ["k"]) == (

@@ -220,6 +220,23 @@ def test_publish_points(spark, tmp_path):
         assert len(rows) == count and {r.key for r in rows} <= {"A|2024|M01", "A|2023|M01"}
 
 
+def test_a_batch_of_very_many_days_looks_at_the_whole_history(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(gold, "NAMED_DAYS", 1)
+
+    def batch(*days):
+        rows = [
+            (dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc), f"S{d}", 2024, "M01", "n", 1.0, None, True, 1, dt.date(2024, 1, 1))
+            for d in days
+        ]
+        return spark.createDataFrame(rows, C.STREAM_SILVER_SCHEMA)
+
+    root = str(tmp_path / "g")
+    gold.write_gold_batch(batch(1, 2, 3), 0, root, buckets=4)
+    gold.write_gold_batch(batch(2, 3, 4), 1, root, buckets=4)
+    got = sorted((r.series_id, r.batch_id) for r in gold.read_history(spark, root).collect())
+    assert got == [("S1", 0), ("S2", 0), ("S3", 0), ("S4", 1)]
+
+
 def test_history_days_follow_utc(spark, tmp_path):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

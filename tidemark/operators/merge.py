@@ -20,6 +20,7 @@ from tidemark.operators.layout import rebalance
 from tidemark.workspace import hadoop_path, read_text, write_text
 
 VERSION = "version"
+MAX_FOLDERS = 200_000
 
 
 def upsert(
@@ -124,7 +125,9 @@ def partition_folders(rows: DataFrame, partition_by: Sequence[str]) -> list[str]
     fields = [rows.schema[c].dataType for c in partition_by]
     if not fields or not all(isinstance(t, T.IntegerType) for t in fields):
         raise ValueError("partition_by must name integer columns")
-    values = rows.select(*partition_by).distinct().collect()
+    values = rows.select(*partition_by).distinct().limit(MAX_FOLDERS + 1).collect()
+    if len(values) > MAX_FOLDERS:
+        raise ValueError(f"more than {MAX_FOLDERS} partitions: partition_by is too fine")
     return ["/".join(f"{c}={r[c]}" for c in partition_by) for r in values]
 
 

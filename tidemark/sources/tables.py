@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.options(**JSON_OPTIONS).schema(schema).json(path)
 
 
+def _bound(df: DataFrame, column: str, value) -> Column:
+    """A limit in the type of the column itself: no cast of the column keeps the
+    predicate from the scan, and no zone comes in between for clock readings."""
+    return F.lit(str(value)).cast(df.schema[column].dataType)
+
+
 def read_partitioned(
     spark: SparkSession, root: str, column: str | None = None, since: str | None = None
 ) -> DataFrame:
@@ -29,7 +35,7 @@ def read_partitioned(
     table = spark.read.parquet(root)
     if column is None or since is None:
         return table
-    return table.where(F.col(column) >= F.lit(since).cast(table.schema[column].dataType))
+    return table.where(F.col(column) >= _bound(table, column, since))
 
 
 def schema_or(spark: SparkSession, path: str, fallback: T.StructType) -> T.StructType:
@@ -53,9 +59,9 @@ def select_window(
 ) -> DataFrame:
     """Rows a request would have asked for; every predicate can reach the file scan."""
     if since is not None:
-        df = df.where(F.col(time_column) >= F.lit(since))
+        df = df.where(F.col(time_column) >= _bound(df, time_column, since))
     if until is not None:
-        df = df.where(F.col(time_column) <= F.lit(until))
+        df = df.where(F.col(time_column) <= _bound(df, time_column, until))
     if series is not None:
         df = df.where(F.col(series_column).isin(*series))
     return df.select(*columns) if columns else df

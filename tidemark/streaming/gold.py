@@ -8,7 +8,6 @@ beyond it.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +26,7 @@ from tidemark.workspace import exists
 
 BUCKET = "bucket"
 DAY = "ingest_day"
+NAMED_DAYS = 1000
 OnBatch = Callable[[DataFrame, int], None]
 LATEST_ORDER = ("ts_ingested", "year", "period", "value", "periodname", "is_latest", "footnotes")
 
@@ -40,16 +40,28 @@ def latest_series_of(rows: DataFrame) -> DataFrame:
     return latest_per_key(rows, ("series_id",), LATEST_ORDER[:1], LATEST_ORDER[1:])
 
 
-def append_history(
-    spark: SparkSession, history: str, staged: DataFrame, days: list[dt.date], epoch: int
-) -> None:
+def _held_folders(spark: SparkSession, history: str, staged: DataFrame) -> list[str]:
+    """History folders that can hold the instants of a batch.
+
+    Normally the few ingest days of the batch. A batch that is spread over very
+    many days looks at the whole history instead of naming them all.
+    """
+    days = staged.select(DAY).distinct().limit(NAMED_DAYS + 1).collect()
+    if len(days) > NAMED_DAYS:
+        folders = [history]
+    else:
+        folders = [f"{history}/{DAY}={r[0]}" for r in days]
+    return [f for f in folders if exists(spark, f)]
+
+
+def append_history(spark: SparkSession, history: str, staged: DataFrame, epoch: int) -> None:
     """Add the staged rows whose (series, instant) is not held yet.
 
     The instant is part of the key, so held rows are looked up on the ingest days
     of the batch only. A replay ignores its own rows and replaces them.
     """
     rows = staged.withColumn(BATCH, F.lit(epoch))
-    folders = [f for f in (f"{history}/{DAY}={day}" for day in days) if exists(spark, f)]
+    folders = _held_folders(spark, history, staged)
     if folders:
         reader = spark.read.option("basePath", history).schema(rows.schema)
         held = reader.parquet(*folders).where(F.col(BATCH) < epoch)
@@ -81,10 +93,10 @@ def write_gold_batch(
     changes.write.mode("overwrite").parquet(path)
 
     staged = spark.read.schema(changes.schema).parquet(path)
-    days, touched = staged.agg(F.collect_set(DAY), F.collect_set(BUCKET)).first()
+    touched = merge.partition_folders(staged, (BUCKET,))
     if not touched:
         return
-    append_history(spark, f"{gold}/history", staged.drop(BUCKET), days, epoch)
+    append_history(spark, f"{gold}/history", staged.drop(BUCKET), epoch)
     merge.merge_version(
         spark,
         f"{gold}/latest",
@@ -93,7 +105,7 @@ def write_gold_batch(
         epoch,
         (BUCKET,),
         LATEST_ORDER if guard_recency else (),
-        touched=[f"{BUCKET}={b}" for b in touched],
+        touched=touched,
     )
     if on_batch is not None:
         on_batch(staged.select(*C.SERVING_COLUMNS), epoch)
