@@ -96,6 +96,22 @@ def test_versioned_table(spark, tmp_path):
     assert _current(spark, root) == want
 
 
+def test_expired_versions_leave_the_table_as_it_is(spark, tmp_path):
+    root = str(tmp_path / "t")
+    assert merge.expire_versions(spark, root) == []
+    _merge(spark, root, 1, [(1, 1, "a", 0), (2, 1, "a", 1)])
+    _merge(spark, root, 2, [(2, 2, "b", 1)])
+    _merge(spark, root, 3, [(2, 3, "c", 1), (3, 1, "a", 2)])
+    want = {(1, 1, "a", 0), (2, 3, "c", 1), (3, 1, "a", 2)}
+    assert merge.expire_versions(spark, root, keep=2) == ["version=1/part=1"]
+    assert _current(spark, root) == want
+    assert _current(spark, root, below=3) == {(1, 1, "a", 0), (2, 2, "b", 1)}
+    assert merge.expire_versions(spark, root, keep=1) == ["version=2/part=1"]
+    assert _current(spark, root) == want and _current(spark, root, below=3) is None
+    with pytest.raises(ValueError):
+        merge.expire_versions(spark, root, keep=0)
+
+
 def test_guarded_versions_keep_the_newer_row(spark, tmp_path):
     root = str(tmp_path / "t")
     _merge(spark, root, 1, [(1, 5, "new", 0), (2, 1, "old", 0)], ORDER)

@@ -94,12 +94,17 @@ def upsert_staged(
     return kept_base.unionByName(staged.join(beaten, list(keys), "left_anti"))
 
 
-def last_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """Highest committed version (below a given one), from file names alone."""
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed versions, oldest first, from file names alone."""
     fs, pattern = hadoop_path(spark, f"{root}/commits/*.json")
     done = fs.globStatus(pattern) or []
-    found = [int(f.getPath().getName().removesuffix(".json")) for f in done]
-    return max((v for v in found if below is None or v < below), default=None)
+    return sorted(int(f.getPath().getName().removesuffix(".json")) for f in done)
+
+
+def last_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    """Highest committed version, or the highest one below a given version."""
+    found = [v for v in _versions(spark, root) if below is None or v < below]
+    return found[-1] if found else None
 
 
 def _live_partitions(spark: SparkSession, root: str, version: int | None) -> dict[str, int]:
@@ -175,3 +180,33 @@ def merge_version(
     )
     live.update(dict.fromkeys(touched, version))
     write_text(spark, f"{root}/commits/{version}.json", json.dumps(live))
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete what the last ``keep`` commits no longer name; returns the folders.
+
+    Run it between merges. Frames read from an expired version stop working, and
+    only the kept versions can be merged again.
+    """
+    if keep < 1:
+        raise ValueError("at least one version must be kept")
+    versions = _versions(spark, root)
+    if not versions:
+        return []
+    kept: set[str] = set()
+    for v in versions[-keep:]:
+        live = _live_partitions(spark, root, v)
+        kept.update(f"{VERSION}={version}/{folder}" for folder, version in live.items())
+    depth = max(folder.count("/") for folder in kept)
+    fs, pattern = hadoop_path(spark, f"{root}/data/{VERSION}=*" + "/*=*" * depth)
+    stale = []
+    for status in fs.globStatus(pattern) or []:
+        folder = status.getPath()
+        name = "/".join(folder.toString().split("/")[-depth - 1 :])
+        written = int(name.split("/")[0].split("=")[1])
+        if name not in kept and written <= versions[-1]:
+            fs.delete(folder, True)
+            stale.append(name)
+    for v in versions[:-keep]:
+        fs.delete(hadoop_path(spark, f"{root}/commits/{v}.json")[1], False)
+    return sorted(stale)

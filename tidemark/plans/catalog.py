@@ -416,6 +416,12 @@ def latest_view(spark, sf):
     return S.shown(serving.series_latest(gold.latest_series_of(_valid_serving(spark, sf))))
 
 
+@query
+def database_staging_rows(spark, sf):
+    rows = layout.database_columns(gold.latest_series_of(_valid_serving(spark, sf)))
+    return rows.withColumn("ts_ingested", calendar.utc_wall_clock(F.col("ts_ingested")))
+
+
 @query
 def gold_counts(spark, sf):
     return serving.row_counts(

@@ -219,6 +219,13 @@ ORACLES: dict[str, str] = {
     cast(cast((select max(o_orderdate) from orders) as date) as timestamp),
     interval 1 day)) as d)""",
     "latest_view": _latest_points(_VALID, "series_id", "ts desc", _SERVED),
+    "database_staging_rows": _latest_points(
+        _VALID,
+        "series_id",
+        "ts desc",
+        'series_id, ts as ts_ingested, dt, year, month, period, "periodName" as periodname, '
+        "value, is_latest, cast(to_json([notes]) as varchar) as footnotes",
+    ),
     "gold_counts": f"""
   select 'fact' as table_name, count(*) as n from ({_FACT_ROWS})
   union all
