@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, packing, token_counts
+from tidemark.llm import bpe, licenses, packing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_license_scan(spark, sf_dir):
+    return licenses.digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
 @query
 def op4_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
