@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, licenses, packing, token_counts
+from tidemark.llm import bpe, langid, licenses, packing, token_counts, toxicity
+from tidemark.llm.rows import crc_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,12 +29,30 @@ def op1_license_scan(spark, sf_dir):
     return licenses.digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
 
 
+@query
+def op3_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_bucket("doc_id", 5) == 0
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, labels, ~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op4_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_bucket("doc_id", 4) == 2
+    found = langid.identify(docs, langid.fit(docs, ~held_out))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte"
+    )
+
+
 @query
 def op8_byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
