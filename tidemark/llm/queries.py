@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, licenses, packing, token_counts, toxicity
+from tidemark.llm import bpe, langid, licenses, minhash, packing, token_counts, toxicity
 from tidemark.llm.rows import crc_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op1_license_scan(spark, sf_dir):
     return licenses.digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
 
 
+@query
+def op2_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 @query
 def op3_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")

@@ -201,7 +201,7 @@ class _Training:
             some = order[i : i + batch]
             self.step(starts[some], sizes[some], target[some], rate)
 
-    def run(self, epochs: int = 2, rounds: int = 6) -> Model:
+    def run(self, epochs: int = 4, rounds: int = 6) -> Model:
         """Whole texts first, then the passages that decide each text's score."""
         for _ in range(epochs):
             self._epoch((self.text_starts, self.text_sizes), self.labels, 64, 2.0)
