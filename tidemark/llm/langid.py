@@ -31,6 +31,7 @@ ORDER = 4
 #: Bounds of the training sample: rows per language, and bytes of a text.
 SAMPLE_ROWS = 600
 SAMPLE_BYTES = 8_000
+SAMPLE_PARTS = 64
 CACHED = 150_000
 UNKNOWN = "und"
 #: A text whose shortest code is longer than this, in bits per byte, is in no learned language.
@@ -197,8 +198,8 @@ def fit(docs: DataFrame, trainable: Column | None = None, rows: int = SAMPLE_ROW
 
     Rows are chosen by a hash of their id among those of at most ``SAMPLE_BYTES``
     bytes; a language needs one such row to be learned. Rows without language, or
-    without text, are left out. Each task keeps its first rows of a language, so
-    that no language's rows meet in one.
+    without text, are left out. A language's rows are first ranked in parts, so that
+    a bounded number of them meets in one task.
     """
     known = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang")
     if trainable is not None:
@@ -207,9 +208,14 @@ def fit(docs: DataFrame, trainable: Column | None = None, rows: int = SAMPLE_ROW
         F.col("lang").isNotNull() & (F.octet_length("text").between(1, SAMPLE_BYTES))
     )
     place = F.xxhash64("doc_id")
+    part = F.pmod("place", F.lit(SAMPLE_PARTS))
+    some = Window.partitionBy("lang", "part").orderBy("place", "doc_id")
     first = Window.partitionBy("lang").orderBy("place", "doc_id")
     chosen = (
         known.select("doc_id", "lang", place.alias("place"))
+        .withColumn("part", part)
+        .withColumn("n", F.row_number().over(some))
+        .where(F.col("n") <= rows)
         .withColumn("n", F.row_number().over(first))
         .where(F.col("n") <= rows)
         .select("doc_id", F.col("lang").alias("chosen_lang"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, licenses, minhash, packing, token_counts, toxicity
+from tidemark.llm import bpe, capdedup, langid, licenses, minhash, packing, token_counts, topk, toxicity
 from tidemark.llm.rows import crc_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,12 @@ def op4_token_counts(spark, sf_dir):
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op6_exact_top_k(spark, sf_dir):
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 @query
 def op7_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -70,5 +76,32 @@ def op9_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op10_cap_near_dedup(spark, sf_dir):
+    return capdedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 #: SQL for the queries that SQL can express; the others are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_exact_top_k": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id,
+                   CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+            FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+            WHERE a.vec_id % 50 = 0
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id
+            ) AS rank
+            FROM scored
+        )
+        WHERE rank <= 5
+    """,
+}
