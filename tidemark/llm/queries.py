@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, capdedup, langid, licenses, minhash, packing, token_counts, topk, toxicity
+from tidemark.llm import bpe, capdedup, langid, licenses, minhash, packing, pii, token_counts, topk, toxicity
 from tidemark.llm.rows import crc_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,12 @@ def op4_token_counts(spark, sf_dir):
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op5_pii_surrogates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, report=True)
+
+
 @query
 def op6_exact_top_k(spark, sf_dir):
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
