@@ -1,20 +1,51 @@
-"""A training-data pipeline over the documents table, stage by stage."""
+"""A training-data pipeline over the documents table, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before
+kept; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing
+from tidemark.llm import langid, minhash, packing, pii, toxicity
 from tidemark.workspace import new_folder
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows not predicted toxic, by a classifier of the labelled ones."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, labels))
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows in one of the languages that the table names."""
+    return langid.drop_unidentified(docs, langid.fit(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of texts that share 80 in 100 of their five-word shingles."""
+    return minhash.drop_near_duplicates(docs, size=5, percent=80)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with surrogates in place of personal data."""
+    return pii.pseudonymise(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and offset."""
+    """Every piece of every row with its sequence and offset."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("best_fit_packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language_id", keep_languages),
+    ("minhash_near_dedup", drop_near_copies),
+    ("pii_surrogates", replace_personal_data),
+    ("best_fit_packing", pack),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
