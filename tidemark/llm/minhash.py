@@ -7,11 +7,15 @@ compared batch by batch: after each, the posterior probability that the true
 similarity reaches the threshold decides whether the pair is dropped (below
 ``MISS``). The survivors' full shingle sets are compared exactly.
 
-Candidates of a band are not all paired. First each class is paired with the
-smallest one in its band, and the links found are joined to components. Only where
-a band still holds several components, the classes outside the band's largest one
-are paired with all those of other components there. So a group of copies costs a
-few pairs per member, and no link between components goes untested.
+Candidates of a band are not all paired. First each class is paired with the most
+central one in its band, and the links found are joined to components. Only where
+a band still holds several components is there more to compare: the classes outside
+the band's largest component with all others there. If that component has few
+classes in the band, these are pairs like the first. If it has many, the outsiders
+and the component meet in blocks of bounded size, one task each, which test all
+their pairs by the same steps and return only links; no pair of such a group is
+ever a row. So a group of copies costs a few rows per member, and no link between
+components goes untested.
 
 Shingles are compared as 64-bit hashes of their words.
 """
@@ -21,6 +25,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,6 +42,12 @@ HASHES = 128
 BATCH = 16
 #: A pair is dropped if its similarity reaches the threshold with less probability than this.
 MISS = 0.0005
+#: Classes of one component in one band from which on outsiders meet them in blocks.
+CROWD = 16
+#: Classes on each side of a block.
+BLOCK = 256
+#: Most ids that are broadcast to find their texts (16 MB); more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 #: Shingles hashed at once; bounds memory for very long texts.
 CHUNK = 2_048
 
@@ -99,6 +110,17 @@ def least_matches(threshold: float, miss: float = MISS) -> np.ndarray:
     return np.array(least)
 
 
+def surviving(left: np.ndarray, right: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Rows whose two signatures are alike enough at every look."""
+    alive = np.arange(len(left))
+    equal = np.zeros(len(left), np.int64)
+    for i, fewest in enumerate(least):
+        some = slice(i * BATCH, (i + 1) * BATCH)
+        equal[alive] += (left[alive, some] == right[alive, some]).sum(1)
+        alive = alive[equal[alive] >= fewest]
+    return alive
+
+
 def _stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     folder = new_folder(spark, label)
@@ -170,15 +192,9 @@ def likely(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
                 np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint32).reshape(-1, HASHES)
                 for i in (2, 3)
             )
-            alive = np.arange(part.num_rows)
-            equal = np.zeros(part.num_rows, np.int64)
-            for i, fewest in enumerate(least):
-                some = slice(i * BATCH, (i + 1) * BATCH)
-                equal[alive] += (left[alive, some] == right[alive, some]).sum(1)
-                alive = alive[equal[alive] >= fewest]
+            alive = pa.array(surviving(left, right, least))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(alive)), part.column(1).take(pa.array(alive))],
-                ["a", "b"],
+                [part.column(0).take(alive), part.column(1).take(alive)], ["a", "b"]
             )
 
     both = pairs.join(
@@ -209,7 +225,10 @@ def sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 schema.names,
             )
 
-    chosen = docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    wanted = ids.select(F.col("id").alias("doc_id"))
+    if ids.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    chosen = docs.join(wanted, "doc_id", "left_semi")
     return chosen.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -235,23 +254,45 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def star_pairs(bands: DataFrame) -> DataFrame:
-    """Each class with the smallest one of each of its bands."""
-    leaders = bands.groupBy("band").agg(F.min("class_id").alias("a"), F.count("*").alias("n"))
-    joined = bands.join(leaders.where("n > 1"), "band").where("class_id > a")
-    return joined.select("a", F.col("class_id").alias("b")).distinct()
+    """Each class with the most central one of each of its bands.
 
+    A class is the more central the more others share its bands, all bands counted:
+    the text that a group was copied from is closer to its copies than they are to
+    each other. Of equals the smallest id leads.
+    """
+    sizes = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = bands.join(sizes, "band")
+    weight = shared.groupBy("class_id").agg(F.sum("n").alias("weight"))
+    weighed = shared.select("band", "class_id").join(weight, "class_id")
+    leaders = weighed.groupBy("band").agg(
+        F.max_by("class_id", F.struct("weight", -F.col("class_id"))).alias("leader")
+    )
+    joined = weighed.join(leaders, "band").where("class_id <> leader")
+    return joined.select(
+        F.least("class_id", "leader").alias("a"), F.greatest("class_id", "leader").alias("b")
+    ).distinct()
 
-def open_pairs(bands: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of different components in one band, but for two of its largest component."""
+
+def open_bands(bands: DataFrame, found: DataFrame) -> DataFrame:
+    """(band, class_id, component_id, largest, n) of bands that hold several components.
+
+    ``n`` counts the classes of the largest one in the band.
+    """
     placed = bands.join(
         found.withColumnRenamed("id", "class_id"), "class_id", "left"
     ).withColumn("component_id", F.coalesce("component_id", "class_id"))
     held = placed.groupBy("band", "component_id").agg(F.count("*").alias("n"))
     largest = held.groupBy("band").agg(
-        F.max(F.struct("n", "component_id")).component_id.alias("largest"),
-        F.count("*").alias("held"),
+        F.max(F.struct("n", "component_id")).alias("first"), F.count("*").alias("held")
     )
-    several = placed.join(largest.where("held > 1"), "band")
+    several = largest.where("held > 1").select(
+        "band", F.col("first.component_id").alias("largest"), F.col("first.n").alias("n")
+    )
+    return placed.join(several, "band")
+
+
+def open_pairs(several: DataFrame) -> DataFrame:
+    """Pairs of different components in one band, but for two of its largest component."""
     outside = several.where("component_id <> largest").select(
         "band", F.col("class_id").alias("x"), F.col("component_id").alias("of_x")
     )
@@ -264,6 +305,86 @@ def open_pairs(bands: DataFrame, found: DataFrame) -> DataFrame:
     return crossed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def block_links(
+    left: list[tuple[int, bytes]], right: list[tuple[int, int, bytes]], percent: int, least
+) -> list[tuple[int, int]]:
+    """Links from (id, set) rows to (id, component, set) rows, one to each component."""
+    ids = np.array([row[0] for row in right])
+    component = np.array([row[1] for row in right])
+    sets = [np.frombuffer(row[2], np.uint64) for row in right]
+    sizes = np.array([len(x) for x in sets])
+    signed = np.stack([signature(x) for x in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    links = []
+    for own, data in left:
+        x = np.frombuffer(data, np.uint64)
+        mine = np.broadcast_to(signature(x), signed.shape)
+        alive = surviving(mine, signed, least)
+        if not len(alive):
+            continue
+        low, high = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
+        many = high - low
+        at = np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)
+        shared = np.bincount(owner[at], minlength=len(sets))
+        near = 100 * shared >= percent * (len(x) + sizes - shared)
+        linked = alive[near[alive] & (ids[alive] != own)]
+        for c in np.unique(component[linked]).tolist():
+            links.append((own, int(ids[linked][component[linked] == c].min())))
+    return links
+
+
+def crowd_links(crowded: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) of outsiders with the large components of their bands, and with each other."""
+    outside = crowded.where("component_id <> largest").select("largest", "class_id", "component_id")
+    every = _stored(crowded.select("largest", "class_id", "component_id").distinct(), "crowds")
+    outside = _stored(outside.distinct(), "outsiders")
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        count = F.ceil(F.count("*") / F.lit(BLOCK)).cast("int")
+        return rows.groupBy("largest").agg(count.alias(name))
+
+    counts = blocks(outside, "lefts").join(blocks(every, "rights"), "largest")
+    ids = every.select(F.col("class_id").alias("id")).distinct()
+    sets = _stored(sets_of(docs, ids, size).dropDuplicates(["id"]), "sets").select(
+        F.col("id").alias("class_id"), "found"
+    )
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = F.xxhash64("class_id")
+    left = (
+        outside.join(counts, "largest")
+        .withColumn("i", F.pmod(place, F.col("lefts")).cast("int"))
+        .withColumn("j", numbers("rights"))
+        .join(sets, "class_id")
+    )
+    right = (
+        every.join(counts, "largest")
+        .withColumn("j", F.pmod(place, F.col("rights")).cast("int"))
+        .withColumn("i", numbers("lefts"))
+        .join(sets, "class_id")
+    )
+    least = least_matches(percent / 100)
+
+    def meet(lefts: pd.DataFrame, rights: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        if len(lefts) and len(rights):
+            links = block_links(
+                list(zip(lefts["class_id"], lefts["found"])),
+                list(zip(rights["class_id"], rights["component_id"], rights["found"])),
+                percent,
+                least,
+            )
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+
+    keys = ["largest", "i", "j"]
+    wanted = [*keys, "class_id", "component_id", "found"]
+    left = left.select(wanted).toDF(*wanted)
+    right = right.select(wanted).toDF(*wanted)
+    grouped = left.groupBy(*keys).cogroup(right.groupBy(*keys))
+    return grouped.applyInPandas(meet, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     size: int = 5,
@@ -302,9 +423,13 @@ def near_duplicates(
     stars = _stored(star_pairs(bands), "stars")
     links = verified(stars)
     found = components(links)
-    rest = open_pairs(bands, found).join(stars, ["a", "b"], "left_anti")
+    several = _stored(open_bands(bands, found), "open")
+    rest = open_pairs(several.where(F.col("n") < CROWD)).join(stars, ["a", "b"], "left_anti")
     more = verified(_stored(rest, "pairs"))
-    found = components(links.union(more))
+    crowds = _stored(
+        crowd_links(several.where(F.col("n") >= CROWD), docs, size, percent), "crowd-links"
+    )
+    found = components(links.union(more).union(crowds))
     placed = classes.join(found.withColumnRenamed("id", "class_id"), "class_id", "left").select(
         "set_key", F.coalesce("component_id", "class_id").alias("component_id")
     )
