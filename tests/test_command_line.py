@@ -7,6 +7,7 @@ import pytest
 
 from tidemark import contracts as C
 from tidemark.__main__ import main, parser
+from tidemark.streaming import gold
 
 
 def test_batch_jobs(spark, tmp_path):
@@ -22,7 +23,10 @@ def test_batch_jobs(spark, tmp_path):
     main(["silver", "--bronze", folder("b"), "--silver", folder("s"), "--since", "2024-03-01"])
     for _ in range(2):
         main(["gold", "--silver", folder("s"), "--gold", folder("g")])
+    main(["compact", "--gold", folder("g")])
+    main(["expire", "--gold", folder("g")])
     main(["serve", "--gold", folder("g"), "--out", folder("o")])
+    assert spark.read.parquet(folder("o") + "/series_monthly").count() == 1
     assert [r.value for r in spark.read.text(folder("r")).collect()] == ["{}"]
     [row] = spark.read.parquet(folder("o") + "/fact_latest").collect()
     assert (row.dt, row.value, row.ingest_date) == (dt.date(2024, 1, 1), 1000.0, dt.date(2024, 3, 1))
@@ -38,8 +42,11 @@ def test_stream_jobs(spark, tmp_path):
     main(["stream-silver", "--bronze", folder("b"), "--silver", folder("s"),
           "--checkpoint", folder("cs"), "--drain", "--max-files", "1"])
     main(["stream-gold", "--silver", folder("s"), "--gold", folder("g"),
-          "--checkpoint", folder("cg"), "--drain", "--buckets", "4"])
+          "--checkpoint", folder("cg"), "--drain"])
     assert spark.read.parquet(folder("g") + "/history").count() == 1
+    main(["compact", "--stream-gold", folder("g")])
+    main(["expire", "--stream-gold", folder("g"), "--keep", "1"])
+    assert gold.read_latest(spark, folder("g")).count() == 1
 
 
 def test_defaults():

@@ -1,6 +1,4 @@
-"""Upsert, insert-if-absent, contract gate and versioned tables."""
-
-import os
+"""Upsert, insert-if-absent and contract gate."""
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -47,7 +45,6 @@ def test_upsert(spark, base, delta, guard):
     once = merge.upsert(b, d, KEYS, order[:1], order[1:])
     assert _set(once) == want
     assert _set(merge.upsert(once, d, KEYS, order[:1], order[1:])) == want
-    assert _set(merge.upsert_staged(b, d, KEYS, order)) == want
 
 
 def test_unguarded_lets_an_older_row_win(spark):
@@ -63,98 +60,20 @@ def test_insert_if_absent(spark):
     assert _set(merge.insert_if_absent_staged(held, delta, KEYS)) == {(2, 1, "new")}
 
 
+def test_reserved_names_are_refused(spark):
+    frame = spark.createDataFrame([(1, 1)], f"k int, {merge.INCOMING} int")
+    with pytest.raises(ValueError, match="reserved"):
+        merge.upsert(frame, frame, KEYS)
+    named = spark.createDataFrame([(1, 1)], "k int, incoming int")
+    assert merge.upsert(named, named, KEYS).columns == ["k", "incoming"]
+
+
 def _staged(spark, path, rows):
     df = spark.createDataFrame(rows, "k int, ts int, v string, part int")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def _merge(spark, root, version, rows, order=()):
-    staged = _staged(spark, f"{root}/staging/{version}", rows)
-    merge.merge_version(spark, root, staged, KEYS, version, ("part",), order)
-
-
-def _current(spark, root, below=None):
-    table = merge.read_current(spark, root, below)
-    return None if table is None else _set(table.select("k", "ts", "v", "part"))
-
-
-def test_versioned_table(spark, tmp_path):
-    root = str(tmp_path / "t")
-    assert merge.last_version(spark, root) is None and _current(spark, root) is None
-    _merge(spark, root, 1, [(1, 1, "a", 0), (2, 1, "a", 1)])
-    _merge(spark, root, 2, [(2, 2, "b", 1), (3, 1, "a", 1), (4, 1, "a", 2)])
-    want = {(1, 1, "a", 0), (2, 2, "b", 1), (3, 1, "a", 1), (4, 1, "a", 2)}
-    assert _current(spark, root) == want
-    assert _current(spark, root, below=2) == {(1, 1, "a", 0), (2, 1, "a", 1)}
-    assert merge.last_version(spark, root) == 2
-    # Only touched partitions are rewritten.
-    folders = {f for f in os.listdir(f"{root}/data/version=2") if "=" in f}
-    assert folders == {"part=1", "part=2"}
-    # Running a version again changes nothing.
-    _merge(spark, root, 2, [(2, 2, "b", 1), (3, 1, "a", 1), (4, 1, "a", 2)])
-    assert _current(spark, root) == want
-
-
-def test_expired_versions_leave_the_table_as_it_is(spark, tmp_path):
-    root = str(tmp_path / "t")
-    assert merge.expire_versions(spark, root) == []
-    _merge(spark, root, 1, [(1, 1, "a", 0), (2, 1, "a", 1)])
-    _merge(spark, root, 2, [(2, 2, "b", 1)])
-    _merge(spark, root, 3, [(2, 3, "c", 1), (3, 1, "a", 2)])
-    want = {(1, 1, "a", 0), (2, 3, "c", 1), (3, 1, "a", 2)}
-    assert merge.expire_versions(spark, root, keep=2) == ["version=1/part=1"]
-    assert _current(spark, root) == want
-    assert _current(spark, root, below=3) == {(1, 1, "a", 0), (2, 2, "b", 1)}
-    assert merge.expire_versions(spark, root, keep=1) == ["version=2/part=1"]
-    assert _current(spark, root) == want and _current(spark, root, below=3) is None
-    with pytest.raises(ValueError):
-        merge.expire_versions(spark, root, keep=0)
-
-
-def test_guarded_versions_keep_the_newer_row(spark, tmp_path):
-    root = str(tmp_path / "t")
-    _merge(spark, root, 1, [(1, 5, "new", 0), (2, 1, "old", 0)], ORDER)
-    _merge(spark, root, 2, [(1, 1, "late", 0), (2, 2, "new", 0)], ORDER)
-    assert _current(spark, root) == {(1, 5, "new", 0), (2, 2, "new", 0)}
-
-
-def test_a_merge_without_commit_is_not_seen(spark, tmp_path):
-    root = str(tmp_path / "t")
-    _merge(spark, root, 1, [(1, 1, "a", 0)])
-    half = _staged(spark, f"{root}/staging/2", [(1, 2, "half", 0)])
-    half.write.partitionBy("part").parquet(f"{root}/data/version=2")
-    (tmp_path / "t" / "commits" / "2.json.part").write_text("{")
-    assert _current(spark, root) == {(1, 1, "a", 0)}
-    _merge(spark, root, 2, [(1, 2, "whole", 0)])
-    assert _current(spark, root) == {(1, 2, "whole", 0)}
-
-
-def test_partitions_must_be_integers(spark, tmp_path):
-    staged = spark.createDataFrame([(1, "x")], "k int, part string")
-    for columns in (("part",), ()):
-        with pytest.raises(ValueError):
-            merge.merge_version(spark, str(tmp_path / "t"), staged, KEYS, 1, columns)
-
-
-def test_too_fine_a_partitioning_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(merge, "MAX_FOLDERS", 2)
-    parts = spark.createDataFrame([(i,) for i in range(3)], "part int")
-    assert len(merge.partition_folders(parts.where("part < 2"), ("part",))) == 2
-    with pytest.raises(ValueError, match="too fine"):
-        merge.partition_folders(parts, ("part",))
-
-
-def test_a_small_batch_does_not_shuffle_the_base(spark, tmp_path):
-    base = spark.range(100_000).select(F.col("id").cast("int").alias("k"), F.lit(1).alias("ts"))
-    staged = _staged(spark, str(tmp_path / "s"), [(1, 2, "a", 0)]).select("k", "ts")
-    for order in ((), ("ts",)):
-        merged = merge.upsert_staged(base, staged, KEYS, order)
-        plan = merged._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
-        assert merged.where("k = 1").first().ts == 2 and merged.count() == 100_000
-
-
 def test_held_keys_are_not_shuffled_for_a_small_batch(spark, tmp_path):
     held = spark.range(100_000).select(F.col("id").cast("int").alias("k"))
     staged = _staged(spark, str(tmp_path / "s"), [(1, 2, "a", 0), (-1, 2, "a", 0)])

@@ -6,17 +6,32 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from tidemark.plans import catalog, oracles
 
 SF_DIR = os.environ.get("TIDEMARK_TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = oracles.ORACLES
 
 
 # A global aggregate brings one partial row per task together; nothing else may.
 ONE_ROW_AGGREGATES = {("dim_date", "SinglePartition"), ("gold_counts", "SinglePartition")}
 
 
+PARSED_ONCE = ("latest_view", "database_staging_rows", "decode_messages", "tabular_payload_records")
+
+
+@pytest.mark.parametrize("name", PARSED_ONCE)
+def test_documents_are_parsed_once(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_flagged_points_are_looked_for_once(spark):
+    rows = QUERIES["payload_latest_point"](spark, SF_DIR)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("IN (true,True)") + plan.count("INSET") == 1
+
+
 @pytest.fixture(scope="module")
 def duck():
     db = duckdb.connect()

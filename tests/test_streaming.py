@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import contracts as C
 from tidemark.functions import messages
-from tidemark.operators import merge
+from tidemark.operators import versions
 from tidemark.sources.streams import read_files
 from tidemark.streaming import bronze, gold, runs, silver
 from tidemark.workspace import ensure_folder
@@ -30,6 +30,7 @@ class Pipe:
     def __init__(self, spark, root, **gold_options):
         self.spark, self.root, self.gold_options = spark, str(root), gold_options
         self.bronze, self.silver, self.gold = (f"{self.root}/{n}" for n in ("b", "s", "g"))
+        self.checkpoint = f"{self.root}/cg"
 
     def run(self, *rows):
         if rows:
@@ -37,7 +38,7 @@ class Pipe:
         runs.wait(silver.stream_silver(self.spark, self.bronze, self.silver, f"{self.root}/cs"))
         runs.wait(
             gold.stream_gold(
-                self.spark, self.silver, self.gold, f"{self.root}/cg", buckets=4, **self.gold_options
+                self.spark, self.silver, self.gold, self.checkpoint, **self.gold_options
             )
         )
 
@@ -47,7 +48,7 @@ class Pipe:
 
     def history(self):
         rows = gold.read_history(self.spark, self.gold).collect()
-        return sorted((r.series_id, r.ts_ingested.minute, r.value, r.batch_id) for r in rows)
+        return sorted((r.series_id, r.ts_ingested.minute, r.value, r.version) for r in rows)
 
     def silver_rows(self):
         rows = self.spark.read.parquet(self.silver).collect()
@@ -67,14 +68,14 @@ def test_gold_history_and_latest(spark, tmp_path):
     pipe = Pipe(spark, tmp_path)
     pipe.run((1, "A", "M01", 1.0), (5, "A", "M02", 2.0), (3, "B", "M01", 3.0), (9, "C", "M13", 4.0))
     assert pipe.latest() == {"A": (5, 2.0), "B": (3, 3.0)}
-    assert pipe.history() == [("A", 5, 2.0, 0), ("B", 3, 3.0, 0)]
+    assert pipe.history() == [("A", 5, 2.0, 1), ("B", 3, 3.0, 1)]
     # A late older row for A, a newer one for B, a held instant of A again, a new series.
     pipe.run((2, "A", "M03", 5.0), (7, "B", "M02", 6.0), (1, "D", "M01", 7.0))
     assert pipe.latest() == {"A": (5, 2.0), "B": (7, 6.0), "D": (1, 7.0)}
     pipe.run((5, "A", "M04", 8.0))
-    assert [h for h in pipe.history() if h[0] == "A"] == [("A", 2, 5.0, 1), ("A", 5, 2.0, 0)]
+    assert [h for h in pipe.history() if h[0] == "A"] == [("A", 2, 5.0, 2), ("A", 5, 2.0, 1)]
     rejects = spark.read.parquet(f"{pipe.gold}/rejects").collect()
-    assert [(r.series_id, r.reject_reason, r.batch_id) for r in rejects] == [("C", "dt", 0)]
+    assert [(r.series_id, r.reject_reason, r.version) for r in rejects] == [("C", "dt", 1)]
 
 
 def test_unguarded_latest_takes_the_late_row(spark, tmp_path):
@@ -97,29 +98,69 @@ def test_replayed_epochs_change_nothing(spark, tmp_path):
     pipe.run((1, "A", "M01", 1.0), (1, "B", "M01", 2.0))
     pipe.run((2, "A", "M01", 3.0), (1, "B", "M01", 9.0))
     before = pipe.latest(), pipe.history()
-    batch = spark.read.parquet(f"{pipe.silver}/batch_id=1")
+    reader = gold.read_latest(spark, pipe.gold)
+    batch = spark.read.parquet(f"{pipe.silver}").where("batch_id = 1")
+    run = gold.run_of(spark, pipe.checkpoint)
     for _ in range(2):
-        gold.write_gold_batch(batch, 1, pipe.gold, buckets=4)
+        gold.write_gold_batch(batch, 1, pipe.gold, run=run)
     assert (pipe.latest(), pipe.history()) == before
+    assert reader.count() == 2  # its files are still there
+
+
+def test_a_cleared_checkpoint_loses_and_hides_nothing(spark, tmp_path):
+    pipe = Pipe(spark, tmp_path)
+    for minute in range(3):
+        pipe.run((minute, "A", "M01", float(minute)), (minute, "B", "M01", float(minute)))
+    held = pipe.history()
+    pipe.checkpoint = f"{pipe.root}/fresh"
+    pipe.run((9, "A", "M01", 99.0), (9, "C", "M01", 1.0))
+    assert pipe.latest() == {"A": (9, 99.0), "B": (2, 2.0), "C": (9, 1.0)}
+    after = pipe.history()
+    assert set(held) <= set(after)
+    assert [h[:2] for h in after if h not in held] == [("A", 9), ("C", 9)]
+    assert len({h[:2] for h in after}) == len(after)
+
+
+def test_a_cleared_silver_checkpoint_keeps_written_files(spark, tmp_path):
+    source, out = str(tmp_path / "b"), str(tmp_path / "s")
+    for checkpoint in ("c1", "c2"):
+        _land(spark, source, (1, "A", "M01", 1.0))
+        runs.wait(silver.stream_silver(spark, source, out, str(tmp_path / checkpoint)))
+        first = set(spark.read.parquet(out).inputFiles()) if checkpoint == "c1" else first
+    assert first < set(spark.read.parquet(out).inputFiles())
 
 
 def test_a_failed_epoch_is_not_published(spark, tmp_path, monkeypatch):
     pipe = Pipe(spark, tmp_path)
     pipe.run((1, "A", "M01", 1.0))
     before = pipe.latest(), pipe.history()
-    real = merge.merge_version
+    real = versions.commit
 
     def fail(*args, **kwargs):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(merge, "merge_version", fail)
+    monkeypatch.setattr(versions, "commit", fail)
     with pytest.raises(Exception, match="lost"):
         pipe.run((2, "A", "M01", 2.0))
     assert (pipe.latest(), pipe.history()) == before
-    monkeypatch.setattr(merge, "merge_version", real)
+    monkeypatch.setattr(versions, "commit", real)
     pipe.run()
     assert pipe.latest() == {"A": (2, 2.0)}
-    assert pipe.history() == [("A", 1, 1.0, 0), ("A", 2, 2.0, 1)]
+    assert [h[:3] for h in pipe.history()] == [("A", 1, 1.0), ("A", 2, 2.0)]
+
+
+def test_folded_and_expired_tables_read_the_same(spark, tmp_path):
+    pipe = Pipe(spark, tmp_path, fold_every=2)
+    for minute in range(5):
+        pipe.run((minute, "A", "M01", float(minute)), (4 - minute, "B", "M01", float(minute)))
+    want = {"A": (4, 4.0), "B": (4, 0.0)}
+    assert pipe.latest() == want
+    gold.fold_latest(spark, pipe.gold)
+    assert pipe.latest() == want
+    assert gold.expire_latest(spark, pipe.gold, keep=1)
+    assert pipe.latest() == want and len(pipe.history()) == 10
+    pipe.run((9, "A", "M01", 9.0))
+    assert pipe.latest() == {"A": (9, 9.0), "B": (4, 0.0)}
 
 
 def test_a_batch_of_rejects_commits_nothing(spark, tmp_path):
@@ -220,9 +261,25 @@ def test_publish_points(spark, tmp_path):
         assert len(rows) == count and {r.key for r in rows} <= {"A|2024|M01", "A|2023|M01"}
 
 
-def test_a_batch_of_very_many_days_looks_at_the_whole_history(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(gold, "NAMED_DAYS", 1)
+def test_publish_chosen_series_and_years(spark, tmp_path):
+    payload = (
+        '{"Results":{"series":[{"seriesID":"A","data":[{"year":"2024","period":"M01"},'
+        '{"year":"2022","period":"M01"},{"period":"M02"}]},'
+        '{"seriesID":"B","data":[{"year":"2024","period":"M01"}]}]}}'
+    )
+    frame = spark.createDataFrame([(payload,)], "payload string")
+
+    def published(**chosen):
+        out = str(tmp_path / "-".join(chosen))
+        bronze.publish_points(frame, False, F.lit(_iso(1)), "parquet", {"path": out}, **chosen)
+        return {r.key for r in spark.read.parquet(out).collect()}
+
+    assert published(series=["B"]) == {"B|2024|M01"}
+    assert published(first_year=2023) == {"A|2024|M01", "B|2024|M01"}
+    assert published(series=["A"], last_year=2022) == {"A|2022|M01"}
+
 
+def test_history_is_looked_up_by_day_and_key(spark, tmp_path):
     def batch(*days):
         rows = [
             (dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc), f"S{d}", 2024, "M01", "n", 1.0, None, True, 1, dt.date(2024, 1, 1))
@@ -231,10 +288,10 @@ def test_a_batch_of_very_many_days_looks_at_the_whole_history(spark, tmp_path, m
         return spark.createDataFrame(rows, C.STREAM_SILVER_SCHEMA)
 
     root = str(tmp_path / "g")
-    gold.write_gold_batch(batch(1, 2, 3), 0, root, buckets=4)
-    gold.write_gold_batch(batch(2, 3, 4), 1, root, buckets=4)
-    got = sorted((r.series_id, r.batch_id) for r in gold.read_history(spark, root).collect())
-    assert got == [("S1", 0), ("S2", 0), ("S3", 0), ("S4", 1)]
+    gold.write_gold_batch(batch(1, 2, 3), 0, root)
+    gold.write_gold_batch(batch(2, 3, 4), 1, root)
+    got = sorted((r.series_id, r.version) for r in gold.read_history(spark, root).collect())
+    assert got == [("S1", 1), ("S2", 1), ("S3", 1), ("S4", 2)]
 
 
 def test_history_days_follow_utc(spark, tmp_path):
@@ -243,7 +300,7 @@ def test_history_days_follow_utc(spark, tmp_path):
     try:
         row = (dt.datetime(2024, 1, 2, 3, tzinfo=dt.timezone.utc), "A", 2024, "M01", "n", 1.0, None, True, 1, dt.date(2024, 1, 1))
         batch = spark.createDataFrame([row], C.STREAM_SILVER_SCHEMA)
-        gold.write_gold_batch(batch, 0, str(tmp_path / "g"), buckets=4)
+        gold.write_gold_batch(batch, 0, str(tmp_path / "g"))
         assert os.path.isdir(tmp_path / "g" / "history" / "ingest_day=2024-01-02")
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)

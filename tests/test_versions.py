@@ -1,0 +1,110 @@
+"""Keyed tables on disk: versions, replay, writers, folding, expiry."""
+
+import os
+
+import pytest
+
+from tidemark.operators import versions
+
+KEYS = ("k",)
+ORDER = ("ts", "v")
+
+
+def _rows(spark, *rows):
+    return spark.createDataFrame(rows, "k int, ts int, v string")
+
+
+def _table(spark, root):
+    table = versions.read_current(spark, root, KEYS)
+    return None if table is None else {tuple(r) for r in table.select("k", "ts", "v").collect()}
+
+
+def _append(spark, root, *rows, **options):
+    return versions.append(spark, root, _rows(spark, *rows), KEYS, **options)
+
+
+def test_the_incoming_row_wins(spark, tmp_path):
+    root = str(tmp_path / "t")
+    assert _table(spark, root) is None
+    _append(spark, root, (1, 9, "a"), (2, 1, "a"))
+    _append(spark, root, (1, 1, "b"), (3, 1, "b"))
+    want = {(1, 1, "b"), (2, 1, "a"), (3, 1, "b")}
+    assert _table(spark, root) == want
+    versions.fold(spark, root, KEYS)
+    assert _table(spark, root) == want
+    _append(spark, root, (2, 0, "c"))
+    assert _table(spark, root) == {(1, 1, "b"), (2, 0, "c"), (3, 1, "b")}
+
+
+def test_the_newer_row_wins_in_an_ordered_table(spark, tmp_path):
+    root = str(tmp_path / "t")
+    _append(spark, root, (1, 5, "new"), (2, 1, "old"), order=ORDER)
+    versions.fold(spark, root, KEYS)
+    _append(spark, root, (1, 1, "late"), (2, 2, "new"), order=ORDER)
+    assert _table(spark, root) == {(1, 5, "new"), (2, 2, "new")}
+    with pytest.raises(ValueError, match="ordered"):
+        _append(spark, root, (1, 1, "x"))
+
+
+def test_a_step_of_a_run_is_put_in_once(spark, tmp_path):
+    root = str(tmp_path / "t")
+    _append(spark, root, (1, 1, "a"), run="q", step=0)
+    _append(spark, root, (1, 2, "b"), run="q", step=1)
+    reader = versions.read_current(spark, root, KEYS)
+    for step in (0, 1):
+        _append(spark, root, (1, 9, "again"), run="q", step=step)
+    assert _table(spark, root) == {(1, 2, "b")} and reader.count() == 1
+    _append(spark, root, (1, 0, "other run"), run="p", step=0)
+    assert _table(spark, root) == {(1, 0, "other run")}
+
+
+def test_an_attempt_without_commit_is_not_seen(spark, tmp_path):
+    root = str(tmp_path / "t")
+    seen = _append(spark, root, (1, 1, "a"))
+    lost = versions.claim(spark, root, seen)
+    versions.write_changes(root, _rows(spark, (1, 2, "lost")), lost)
+    assert _table(spark, root) == {(1, 1, "a")}
+    made = _append(spark, root, (2, 1, "b"))
+    assert made.version > lost and lost in made.void
+    assert _table(spark, root) == {(1, 1, "a"), (2, 1, "b")}
+    versions.fold(spark, root, KEYS)
+    assert _table(spark, root) == {(1, 1, "a"), (2, 1, "b")}
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    root = str(tmp_path / "t")
+    seen = _append(spark, root, (1, 1, "a"))
+    slow = versions.claim(spark, root, seen)
+    versions.write_changes(root, _rows(spark, (1, 2, "slow")), slow)
+    _append(spark, root, (1, 3, "fast"))
+    with pytest.raises(RuntimeError, match="another writer"):
+        versions.commit(spark, root, seen, slow)
+    assert _table(spark, root) == {(1, 3, "fast")}
+
+
+def test_expiry_keeps_what_the_last_commits_need(spark, tmp_path):
+    root = str(tmp_path / "t")
+    assert versions.expire(spark, root) == []
+    for i in range(3):
+        _append(spark, root, (1, i, "a"), (i, i, "a"))
+    versions.fold(spark, root, KEYS)
+    want = {(0, 0, "a"), (1, 2, "a"), (2, 2, "a")}
+    assert _table(spark, root) == want
+    assert versions.expire(spark, root, keep=1) == [f"changes/version={i}" for i in (1, 2, 3)]
+    assert _table(spark, root) == want
+    assert len(os.listdir(f"{root}/commits")) <= 2  # one commit and its checksum
+    _append(spark, root, (1, 9, "b"))
+    assert _table(spark, root) == {(0, 0, "a"), (1, 9, "b"), (2, 2, "a")}
+    with pytest.raises(ValueError):
+        versions.expire(spark, root, keep=0)
+
+
+def test_folding_is_due_after_so_many_commits_and_shuffles_once(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for i in range(4):
+        made = _append(spark, root, (i, i, "a"), fold_every=4)
+    assert made.base == made.version and len(_table(spark, root)) == 4
+    _append(spark, root, (1, 9, "b"))
+    seen = versions.last_commit(spark, root)
+    plan = versions.read_state(spark, root, KEYS, seen)._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Exchange") == 1

@@ -11,7 +11,7 @@ import os
 
 from pyspark.sql import SparkSession
 
-from tidemark.operators import merge
+from tidemark.operators import versions
 from tidemark.plans import batch
 from tidemark.sources import payloads, streams
 from tidemark.streaming import bronze, gold, runs, silver
@@ -40,20 +40,30 @@ def build_silver(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def build_gold(spark: SparkSession, a: argparse.Namespace) -> None:
-    version = a.version
-    if version is None:
-        last = merge.last_version(spark, a.gold)
-        version = 1 if last is None else last + 1
-    batch.build_gold(spark, a.silver, a.gold, version, a.since)
+    batch.build_gold(spark, a.silver, a.gold, a.since, a.label)
 
 
 def serve(spark: SparkSession, a: argparse.Namespace) -> None:
     fact = batch.read_gold(spark, a.gold)
     if fact is None:
         raise SystemExit("the gold table has no committed version")
-    views = batch.build_serving(fact)
-    for name in ("fact_latest", "dim_date"):
-        views[name].write.mode("overwrite").parquet(f"{a.out}/{name}")
+    latest = gold.read_latest(spark, a.stream_gold) if a.stream_gold else None
+    for name, view in batch.build_serving(fact, latest=latest).items():
+        view.write.mode("overwrite").parquet(f"{a.out}/{name}")
+
+
+def compact(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.gold:
+        batch.fold_gold(spark, a.gold)
+    if a.stream_gold:
+        gold.fold_latest(spark, a.stream_gold)
+
+
+def expire(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.gold:
+        versions.expire(spark, a.gold, a.keep)
+    if a.stream_gold:
+        gold.expire_latest(spark, a.stream_gold, a.keep)
 
 
 def _bootstrap(a: argparse.Namespace) -> str:
@@ -63,7 +73,10 @@ def _bootstrap(a: argparse.Namespace) -> str:
 def publish(spark: SparkSession, a: argparse.Namespace) -> None:
     docs = payloads.read_payloads(spark, a.payloads, a.one_per_line)
     options = streams.kafka_sink_options(_bootstrap(a), a.topic)
-    bronze.publish_points(docs, a.latest_only, sink_options=options)
+    bronze.publish_points(
+        docs, a.latest_only, sink_options=options,
+        series=a.series, first_year=a.first_year, last_year=a.last_year,
+    )
 
 
 def _every(a: argparse.Namespace) -> str | None:
@@ -90,7 +103,7 @@ def stream_silver(spark: SparkSession, a: argparse.Namespace) -> None:
 def stream_gold(spark: SparkSession, a: argparse.Namespace) -> None:
     query = gold.stream_gold(
         spark, a.silver, a.gold, a.checkpoint, _every(a), a.max_files, a.max_bytes,
-        guard_recency=not a.incoming_wins, buckets=a.buckets,
+        guard_recency=not a.incoming_wins,
     )
     runs.wait(query, _bound(a))
 
@@ -124,18 +137,27 @@ def parser() -> argparse.ArgumentParser:
     sub = job("land", land, "payloads", "raw", "bronze")
     sub.add_argument("--one-per-line", action="store_true")
     sub.add_argument("--ingest-date", type=dt.date.fromisoformat, default=_today())
-    sub.add_argument("--since", help='first period to keep, e.g. "2023" or "2024-01"')
+    sub.add_argument("--since", help="drop records before this year or year and month")
     sub.add_argument("--replace-day", action="store_true")
     sub.add_argument("--rejects")
     sub = job("silver", build_silver, "bronze", "silver")
     sub.add_argument("--since", type=dt.date.fromisoformat, help="first ingest date to rebuild")
     sub = job("gold", build_gold, "silver", "gold")
     sub.add_argument("--since", type=dt.date.fromisoformat, help="first ingest date to stage")
-    sub.add_argument("--version", type=int, help="default: the next one")
-    job("serve", serve, "gold", "out")
+    sub.add_argument("--label", help="name of this run; one that is committed is not repeated")
+    sub = job("serve", serve, "gold", "out")
+    sub.add_argument("--stream-gold", help="also serve the stream's latest table")
+    for name, run in (("compact", compact), ("expire", expire)):
+        sub = job(name, run)
+        sub.add_argument("--gold", help="batch table")
+        sub.add_argument("--stream-gold", help="stream table")
+    sub.add_argument("--keep", type=int, default=2, help="commits to keep")
     sub = job("publish", publish, "payloads")
     sub.add_argument("--one-per-line", action="store_true")
     sub.add_argument("--latest-only", action="store_true")
+    sub.add_argument("--series", nargs="+", help="publish these only")
+    sub.add_argument("--first-year", type=int)
+    sub.add_argument("--last-year", type=int)
     broker(sub)
     sub = stream("stream-bronze", stream_bronze, runs.BRONZE_SECONDS, runs.BRONZE_BOUND, "bronze")
     sub.add_argument("--start", choices=streams.STARTS, default="latest")
@@ -148,7 +170,6 @@ def parser() -> argparse.ArgumentParser:
     sub = stream("stream-gold", stream_gold, runs.GOLD_SECONDS, runs.GOLD_BOUND, "silver", "gold")
     file_bounds(sub)
     sub.add_argument("--incoming-wins", action="store_true", help="a late older row may win")
-    sub.add_argument("--buckets", type=int, default=32)
     return root
 
 

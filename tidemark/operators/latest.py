@@ -30,6 +30,8 @@ def latest_per_key(
     row of each key inside a map task before it shuffles, so a key that holds a
     third of the input sends at most one row per task.
     """
+    if RANK in df.columns:
+        raise ValueError(f"{RANK} is a reserved column name")
     order = _total_order(recency, tie)
     window = Window.partitionBy(*keys).orderBy(*_newest_first(order))
     ranked = df.withColumn(RANK, F.row_number().over(window))
@@ -62,4 +64,4 @@ def drop_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     """One row per key. Without ``order`` the survivor is only defined for full repeats."""
     if order is None:
         return df.dropDuplicates(list(keys))
-    return latest_per_key(df, keys, order[:1], order)
+    return latest_per_key(df, keys, order[:1], order[1:] or order)

@@ -1,26 +1,15 @@
-"""Merge a batch of keyed rows into a keyed table.
-
-The functions on frames (:func:`upsert`, :func:`insert_if_absent`) say what a
-merge means. :func:`merge_version` applies it to a table on disk: the batch is
-staged first, only the partitions it touches are rewritten, and they appear
-under a new version so a reader or a failed run never sees half a merge.
-"""
+"""What a merge of keyed rows means; ``versions`` applies it to a table on disk."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.layout import rebalance
-from tidemark.workspace import hadoop_path, read_text, write_text
 
-VERSION = "version"
-MAX_FOLDERS = 200_000
+INCOMING = "_incoming"
 
 
 def upsert(
@@ -35,11 +24,11 @@ def upsert(
     Without ``recency`` the incoming row always wins, an older one too. With it
     the newer row wins, and the incoming one when both are equal. One shuffle.
     """
-    tagged = base.withColumn("incoming", F.lit(0)).unionByName(
-        delta.withColumn("incoming", F.lit(1))
-    )
-    order = [*recency, *tie, "incoming"]
-    return latest_per_key(tagged, keys, order, order).drop("incoming")
+    if INCOMING in base.columns:
+        raise ValueError(f"{INCOMING} is a reserved column name")
+    tagged = base.withColumn(INCOMING, F.lit(0)).unionByName(delta.withColumn(INCOMING, F.lit(1)))
+    order = [*recency, *tie, INCOMING]
+    return latest_per_key(tagged, keys, order, order).drop(INCOMING)
 
 
 def insert_if_absent(held: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -57,156 +46,3 @@ def insert_if_absent_staged(
     """
     known = held.select(*keys).join(staged.select(*keys), list(keys), "left_semi")
     return staged.join(known, list(keys), "left_anti")
-
-
-def _newer_or_equal(a: str, b: str, order: Sequence[str]) -> Column:
-    def stamp(side: str) -> Column:
-        return F.struct(*[F.col(f"{side}.{c}") for c in order])
-
-    return stamp(a) >= stamp(b)
-
-
-def _same_key(a: str, b: str, keys: Sequence[str]) -> Column:
-    test = F.col(f"{a}.{keys[0]}") == F.col(f"{b}.{keys[0]}")
-    for k in keys[1:]:
-        test = test & (F.col(f"{a}.{k}") == F.col(f"{b}.{k}"))
-    return test
-
-
-def upsert_staged(
-    base: DataFrame, staged: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
-) -> DataFrame:
-    """:func:`upsert` for a large ``base`` and a ``staged`` batch read from disk.
-
-    Written so that ``staged`` is the build side of every join: when its file
-    size is below the broadcast threshold the base is streamed past it without a
-    shuffle, otherwise Spark falls back to a sort-merge join by itself.
-    """
-    same = _same_key("b", "s", keys)
-    kept_columns = [*keys, *(c for c in order if c not in keys)]
-    slim = staged.select(*kept_columns).alias("s")
-    if not order:
-        return base.alias("b").join(slim, same, "left_anti").unionByName(staged)
-    staged_wins = same & _newer_or_equal("s", "b", order)
-    base_wins = same & ~_newer_or_equal("s", "b", order)
-    beaten = base.select(*kept_columns).alias("b").join(slim, base_wins, "left_semi").select(*keys)
-    kept_base = base.alias("b").join(slim, staged_wins, "left_anti")
-    return kept_base.unionByName(staged.join(beaten, list(keys), "left_anti"))
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions, oldest first, from file names alone."""
-    fs, pattern = hadoop_path(spark, f"{root}/commits/*.json")
-    done = fs.globStatus(pattern) or []
-    return sorted(int(f.getPath().getName().removesuffix(".json")) for f in done)
-
-
-def last_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """Highest committed version, or the highest one below a given version."""
-    found = [v for v in _versions(spark, root) if below is None or v < below]
-    return found[-1] if found else None
-
-
-def _live_partitions(spark: SparkSession, root: str, version: int | None) -> dict[str, int]:
-    """Partition folder to the version that serves it, as of a commit."""
-    return {} if version is None else json.loads(read_text(spark, f"{root}/commits/{version}.json"))
-
-
-def _read_partitions(
-    spark: SparkSession, root: str, live: dict[str, int], schema: T.StructType | None = None
-) -> DataFrame:
-    """Data of exactly these folders: nothing else is listed, let alone read."""
-    data = f"{root}/data"
-    folders = [f"{data}/{VERSION}={version}/{folder}" for folder, version in live.items()]
-    reader = spark.read.option("basePath", data)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(*folders).drop(VERSION)
-
-
-def partition_folders(rows: DataFrame, partition_by: Sequence[str]) -> list[str]:
-    """Folders a batch touches. The driver holds one short name per folder of the
-    table, as it does for any partitioned table it plans a scan of."""
-    fields = [rows.schema[c].dataType for c in partition_by]
-    if not fields or not all(isinstance(t, T.IntegerType) for t in fields):
-        raise ValueError("partition_by must name integer columns")
-    values = rows.select(*partition_by).distinct().limit(MAX_FOLDERS + 1).collect()
-    if len(values) > MAX_FOLDERS:
-        raise ValueError(f"more than {MAX_FOLDERS} partitions: partition_by is too fine")
-    return ["/".join(f"{c}={r[c]}" for c in partition_by) for r in values]
-
-
-def read_current(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
-    """The table as of the last commit (or the last one below a version), else None."""
-    last = last_version(spark, root, below)
-    if last is None:
-        return None
-    return _read_partitions(spark, root, _live_partitions(spark, root, last))
-
-
-def merge_version(
-    spark: SparkSession,
-    root: str,
-    staged: DataFrame,
-    keys: Sequence[str],
-    version: int,
-    partition_by: Sequence[str],
-    order: Sequence[str] = (),
-    touched: Sequence[str] | None = None,
-) -> None:
-    """Write version ``version`` of the table at ``root`` and commit it.
-
-    ``staged`` holds one row per key and is read from disk, as it is used more
-    than once. ``partition_by`` names integer columns that follow from the key, so
-    that a key never moves to another partition; ``touched`` saves looking up the
-    folders they name. The merge reads only versions below its own: running it
-    again gives the same rows and the same commit.
-    """
-    if touched is None:
-        touched = partition_folders(staged, partition_by)
-    if not touched:
-        return
-    live = _live_partitions(spark, root, last_version(spark, root, below=version))
-    replaced = {folder: live[folder] for folder in touched if folder in live}
-    merged = staged
-    if replaced:
-        base = _read_partitions(spark, root, replaced, staged.schema)
-        merged = upsert_staged(base, staged, keys, order)
-    (
-        rebalance(merged.select(*staged.columns), partition_by)
-        .write.mode("overwrite")
-        .partitionBy(*partition_by)
-        .parquet(f"{root}/data/{VERSION}={version}")
-    )
-    live.update(dict.fromkeys(touched, version))
-    write_text(spark, f"{root}/commits/{version}.json", json.dumps(live))
-
-
-def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete what the last ``keep`` commits no longer name; returns the folders.
-
-    Run it between merges. Frames read from an expired version stop working, and
-    only the kept versions can be merged again.
-    """
-    if keep < 1:
-        raise ValueError("at least one version must be kept")
-    versions = _versions(spark, root)
-    if not versions:
-        return []
-    kept: set[str] = set()
-    for v in versions[-keep:]:
-        live = _live_partitions(spark, root, v)
-        kept.update(f"{VERSION}={version}/{folder}" for folder, version in live.items())
-    depth = max(folder.count("/") for folder in kept)
-    fs, pattern = hadoop_path(spark, f"{root}/data/{VERSION}=*" + "/*=*" * depth)
-    stale = []
-    for status in fs.globStatus(pattern) or []:
-        folder = status.getPath()
-        name = "/".join(folder.toString().split("/")[-depth - 1 :])
-        written = int(name.split("/")[0].split("=")[1])
-        if name not in kept and written <= versions[-1]:
-            fs.delete(folder, True)
-            stale.append(name)
-    for v in versions[:-keep]:
-        fs.delete(hadoop_path(spark, f"{root}/commits/{v}.json")[1], False)
-    return sorted(stale)

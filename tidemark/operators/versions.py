@@ -1,0 +1,206 @@
+"""A keyed table on disk: a folded base, appended changes, and one small commit per version.
+
+A writer claims a version number that no other attempt has, writes its changes (one
+row per key) under it, and commits. Commits form a chain and each is created only
+if it does not exist, so of two writers that saw the same table one fails, and a
+failed attempt leaves nothing that a reader sees. Committed folders are never
+written again. A commit remembers the last step of every run that wrote, so that a
+repeated step is recognised whatever its number.
+
+Readers rank the base and the changes after it. ``fold`` makes them a new base with
+one shuffle; ``append`` does so itself once ``fold_every`` versions are open, and
+``expire`` deletes what the last commits no longer need.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass, field, replace
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators.latest import latest_per_key
+from tidemark.operators.layout import rebalance
+from tidemark.workspace import create_text, delete, names, read_text
+
+VERSION = "version"
+STAMP = "_version"
+FOLD_EVERY = 64
+
+
+@dataclass(frozen=True)
+class Commit:
+    """State of a table: ``base`` is the folded version, ``void`` are abandoned attempts."""
+
+    number: int = 0
+    version: int = 0
+    base: int = 0
+    order: tuple[str, ...] | None = None
+    runs: dict[str, int] = field(default_factory=dict)
+    void: tuple[int, ...] = ()
+
+    def has(self, run: str | None, step: int) -> bool:
+        return run is not None and self.runs.get(run, -1) >= step
+
+    def sees(self, version: Column) -> Column:
+        """Whether a reader of this state sees what a version wrote."""
+        seen = version <= self.version
+        return seen & ~version.isin(*self.void) if self.void else seen
+
+
+def _numbers(spark: SparkSession, pattern: str) -> list[int]:
+    return sorted(int(name.split(".")[0].split("=")[-1]) for name in names(spark, pattern))
+
+
+def last_commit(spark: SparkSession, root: str) -> Commit:
+    """The table's state; version 0 if nothing is committed."""
+    found = _numbers(spark, f"{root}/commits/*.json")
+    if not found:
+        return Commit()
+    stated = json.loads(read_text(spark, f"{root}/commits/{found[-1]}.json"))
+    order = None if stated["order"] is None else tuple(stated["order"])
+    return Commit(**stated | {"void": tuple(stated["void"]), "order": order})
+
+
+def claim(spark: SparkSession, root: str, seen: Commit) -> int:
+    """A version number that no other attempt has or gets."""
+    version = max([seen.version, *_numbers(spark, f"{root}/claims/*")]) + 1
+    while not create_text(spark, f"{root}/claims/{version}", ""):
+        version += 1
+    return version
+
+
+def commit(spark: SparkSession, root: str, seen: Commit, version: int, **changes) -> Commit:
+    """Publish ``version`` on top of ``seen``; fails if another writer was faster."""
+    between = [v for v in _numbers(spark, f"{root}/claims/*") if seen.version < v < version]
+    made = replace(
+        seen,
+        number=seen.number + 1,
+        version=version,
+        void=(*seen.void, *between),
+        **changes,
+    )
+    if not create_text(spark, f"{root}/commits/{made.number}.json", json.dumps(asdict(made))):
+        raise RuntimeError(f"another writer has committed to {root}; run this again")
+    return made
+
+
+def remembered(seen: Commit, run: str | None, step: int) -> dict[str, int]:
+    return seen.runs if run is None else seen.runs | {run: step}
+
+
+def write_changes(root: str, rows: DataFrame, version: int) -> None:
+    rows.write.parquet(f"{root}/changes/{VERSION}={version}")
+
+
+def append(
+    spark: SparkSession,
+    root: str,
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    run: str | None = None,
+    step: int = 0,
+    fold_every: int = FOLD_EVERY,
+    partition_by: Sequence[str] = (),
+) -> Commit:
+    """Put ``rows``, one per key, into the table; a step of a run is put in once.
+
+    With ``order`` the row that is newest by it wins, else the incoming one. The
+    table remembers its order, and another one is refused.
+    """
+    seen = last_commit(spark, root)
+    if seen.has(run, step):
+        return seen
+    check_order(seen, order)
+    version = claim(spark, root, seen)
+    write_changes(root, rows, version)
+    made = commit(
+        spark, root, seen, version, order=tuple(order), runs=remembered(seen, run, step)
+    )
+    return fold_if_due(spark, root, keys, made, fold_every, partition_by)
+
+
+def check_order(seen: Commit, order: Sequence[str]) -> None:
+    if seen.order is not None and seen.order != tuple(order):
+        raise ValueError(f"the table is ordered by {seen.order}, not by {tuple(order)}")
+
+
+def fold_if_due(
+    spark: SparkSession,
+    root: str,
+    keys: Sequence[str],
+    seen: Commit,
+    fold_every: int,
+    partition_by: Sequence[str] = (),
+) -> Commit:
+    due = fold_every and seen.number % fold_every == 0
+    return fold(spark, root, keys, partition_by) if due else seen
+
+
+def read_state(
+    spark: SparkSession, root: str, keys: Sequence[str], seen: Commit
+) -> DataFrame | None:
+    """The table as of a commit, else None. Without changes after the base, nothing is ranked."""
+    if not seen.version:
+        return None
+    base = spark.read.parquet(f"{root}/base/{VERSION}={seen.base}") if seen.base else None
+    if seen.base == seen.version:
+        return base
+    changes = spark.read.option("basePath", f"{root}/changes").parquet(f"{root}/changes")
+    version = F.col(VERSION)
+    changes = changes.where((version > seen.base) & seen.sees(version))
+    stamped = changes.withColumnRenamed(VERSION, STAMP)
+    if base is not None:
+        stamped = stamped.unionByName(base.withColumn(STAMP, F.lit(seen.base)))
+    order = [*(seen.order or ()), STAMP]
+    return latest_per_key(stamped, keys, order, order).drop(STAMP)
+
+
+def read_current(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame | None:
+    return read_state(spark, root, keys, last_commit(spark, root))
+
+
+def fold(
+    spark: SparkSession, root: str, keys: Sequence[str], partition_by: Sequence[str] = ()
+) -> Commit:
+    """Make the table's state its new base; readers of older commits are not disturbed."""
+    seen = last_commit(spark, root)
+    if seen.base == seen.version:
+        return seen
+    rows = read_state(spark, root, keys, seen)
+    version = claim(spark, root, seen)
+    if partition_by:
+        rows = rebalance(rows, partition_by)
+    rows.write.partitionBy(*partition_by).parquet(f"{root}/base/{VERSION}={version}")
+    return commit(spark, root, seen, version, base=version)
+
+
+def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete folders and commits that the last ``keep`` commits do not need; returns folders.
+
+    Run it between writes: an attempt under way that is older than the last commit
+    counts as abandoned. Frames read from expired states stop working.
+    """
+    if keep < 1:
+        raise ValueError("at least one commit must be kept")
+    numbers = _numbers(spark, f"{root}/commits/*.json")
+    if not numbers:
+        return []
+    last = last_commit(spark, root)
+    first = json.loads(read_text(spark, f"{root}/commits/{numbers[-keep:][0]}.json"))
+    stale = []
+    for kind in ("base", "changes"):
+        for version in _numbers(spark, f"{root}/{kind}/{VERSION}=*"):
+            needed = version >= first["base"] if kind == "base" else version > first["base"]
+            if version <= last.version and (not needed or version in last.void):
+                stale.append(f"{kind}/{VERSION}={version}")
+                delete(spark, f"{root}/{stale[-1]}")
+    for number in numbers[:-keep]:
+        delete(spark, f"{root}/commits/{number}.json")
+    for version in _numbers(spark, f"{root}/claims/*"):
+        if version < last.version:
+            delete(spark, f"{root}/claims/{version}")
+    return sorted(stale)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark import contracts as C
 from tidemark.functions import calendar, typing
-from tidemark.operators import gate, layout, merge, serving
+from tidemark.operators import gate, layout, serving, versions
 from tidemark.operators.latest import latest_per_key
 from tidemark.sources import payloads as P
 from tidemark.sources.tables import read_jsonl, read_partitioned, select_window
@@ -92,41 +92,57 @@ def fact_delta(gold_rows: DataFrame) -> DataFrame:
 
 
 def build_gold(
-    spark: SparkSession, silver: str, gold: str, version: int, since: dt.date | None = None
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    since: dt.date | None = None,
+    label: str | None = None,
 ) -> None:
-    """Stage the newest row per key and upsert it into the fact table.
+    """Append the newest row per key to the fact table; the incoming row wins.
 
-    The incoming row always wins, so ``version`` must rise from run to run.
-    With ``since`` only the ingest days from then on are staged. Rows that break
-    the contract are written next to the table.
+    With ``since`` only the ingest days from then on are taken. Rows that break the
+    contract are written next to the table. A ``label`` names the run: under one that
+    is committed already, nothing is done.
     """
+    seen = versions.last_commit(spark, gold)
+    if seen.has(label, 0):
+        return
     rows = silver_to_gold(
         read_partitioned(
             spark, silver, "ingest_date" if since else None, since.isoformat() if since else None
         )
     )
-    gate.rejected_rows(rows, C.FACT).write.mode("overwrite").parquet(
-        f"{gold}/rejects/version={version}"
-    )
-    staging = f"{gold}/staging/version={version}"
-    delta = fact_delta(rows)
-    delta.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(delta.schema).parquet(staging)
-    merge.merge_version(spark, gold, staged, C.FACT.keys, version, FACT_PARTITIONS)
+    version = versions.claim(spark, gold, seen)
+    gate.rejected_rows(rows, C.FACT).write.parquet(f"{gold}/rejects/{versions.VERSION}={version}")
+    versions.write_changes(gold, fact_delta(rows), version)
+    runs = versions.remembered(seen, label, 0)
+    seen = versions.commit(spark, gold, seen, version, order=(), runs=runs)
+    versions.fold_if_due(spark, gold, C.FACT.keys, seen, versions.FOLD_EVERY, FACT_PARTITIONS)
 
 
 def read_gold(spark: SparkSession, gold: str) -> DataFrame | None:
-    fact = merge.read_current(spark, gold)
+    fact = versions.read_current(spark, gold, C.FACT.keys)
     return None if fact is None else fact.select(*C.FACT_GOLD_COLUMNS)
 
 
-def build_serving(fact: DataFrame, today: dt.date | None = None) -> dict[str, DataFrame]:
-    """Serving frames, derived after gold so they never lag; also temp views."""
+def fold_gold(spark: SparkSession, gold: str) -> None:
+    versions.fold(spark, gold, C.FACT.keys, FACT_PARTITIONS)
+
+
+def build_serving(
+    fact: DataFrame, today: dt.date | None = None, latest: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Serving frames, derived after gold so they never lag; also temp views.
+
+    ``latest`` is the stream's latest table, for ``series_latest``.
+    """
     views = {
         "fact_latest": serving.fact_latest(fact),
         "series_monthly": serving.series_monthly(fact),
         "dim_date": serving.dim_date(fact, today=today),
     }
+    if latest is not None:
+        views["series_latest"] = serving.series_latest(latest)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return views

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark import contracts as C
 from tidemark.functions import calendar, messages, typing
-from tidemark.operators import gate, latest, layout, merge, serving
+from tidemark.operators import gate, latest, layout, merge, serving, versions
 from tidemark.plans import batch
 from tidemark.plans import standins as S
 from tidemark.sources import payloads as P
 from tidemark.sources import tables
+from tidemark.sources.streams import read_files
 from tidemark.streaming import bronze, gold, runs, silver
 from tidemark.workspace import ensure_folder, new_folder
 
@@ -192,6 +193,23 @@ def encode_messages(spark, sf):
     )
 
 
+@query
+def publish_window(spark, sf):
+    """Points of some series and years, as they are published."""
+    root = new_folder(spark, "published")
+    bronze.publish_points(
+        S.nested_payloads(_events(spark, sf)),
+        latest_only=False,
+        ts_ingested=F.lit("2024-01-31T00:00:00+00:00"),
+        sink_format="parquet",
+        sink_options={"path": root},
+        series=[str(i) for i in range(1, 100)],
+        first_year=2000,
+        last_year=2030,
+    )
+    return spark.read.parquet(root).select("key", F.get_json_object("value", "$.value").cast("double").alias("value"))
+
+
 @query
 def decode_messages(spark, sf):
     encoded = S.messages(_events(spark, sf))
@@ -238,6 +256,11 @@ def drop_duplicates(spark, sf):
     return latest.drop_repeats(_events(spark, sf).select(*PAIR), PAIR)
 
 
+@query
+def drop_duplicates_newest(spark, sf):
+    return latest.drop_repeats(_events(spark, sf).select(*EVENT_COLUMNS), PAIR, ("ts", "event_id"))
+
+
 @query
 def distinct_on_latest(spark, sf):
     rows = _events(spark, sf).select("user_id", "event_id", "ts")
@@ -261,13 +284,10 @@ def _feeds(spark, sf):
 @query
 def upsert_snapshot(spark, sf):
     root = new_folder(spark, "upsert")
-    bucket = F.pmod(F.xxhash64("user_id"), F.lit(8)).cast("int")
-    for version, feed in enumerate(_feeds(spark, sf), start=1):
-        staging = f"{root}/staging/version={version}"
-        feed.withColumn("bucket", bucket).write.parquet(staging)
-        staged = spark.read.parquet(staging)
-        merge.merge_version(spark, root, staged, ("user_id",), version, ("bucket",))
-    return merge.read_current(spark, root).select(*EVENT_COLUMNS)
+    for feed in _feeds(spark, sf):
+        versions.append(spark, root, feed, ("user_id",))
+    versions.fold(spark, root, ("user_id",))
+    return versions.read_current(spark, root, ("user_id",)).select(*EVENT_COLUMNS)
 
 
 @query
@@ -294,6 +314,19 @@ def history_insert_if_absent(spark, sf):
     return held.unionByName(merge.insert_if_absent(held, delta, PAIR))
 
 
+@query
+def history_conflict_staged(spark, sf):
+    """As history_insert_if_absent, in the form of the job: both sides read from disk."""
+    root = new_folder(spark, "conflict")
+    rows = _events(spark, sf).select(*EVENT_COLUMNS)
+    parts = {"held": rows.where(S.shift() < 2), "staged": rows.where(S.shift() > 0)}
+    for name, part in parts.items():
+        latest.latest_per_key(part, PAIR, ("ts",), ("event_id",)).write.parquet(f"{root}/{name}")
+    held, staged = (spark.read.parquet(f"{root}/{name}") for name in parts)
+    new = merge.insert_if_absent_staged(held, staged, PAIR).select(*EVENT_COLUMNS)
+    return held.unionByName(new)
+
+
 @query
 def quality_gate_valid(spark, sf):
     return gate.valid_rows(_period_frame(spark, sf), PERIOD_CONTRACT)
@@ -379,7 +412,7 @@ def silver_to_gold(spark, sf):
     root = new_folder(spark, "gold")
     layout.write_partitioned(S.fact_raw(_orders(spark, sf)), f"{root}/bronze", ["ingest_date"])
     batch.build_silver(spark, f"{root}/bronze", f"{root}/silver")
-    batch.build_gold(spark, f"{root}/silver", f"{root}/gold", version=1)
+    batch.build_gold(spark, f"{root}/silver", f"{root}/gold")
     return batch.read_gold(spark, f"{root}/gold")
 
 
@@ -484,20 +517,16 @@ def stream_empty_source(spark, sf):
     return S.shown(spark.read.parquet(f"{root}/silver"))
 
 
-def _run_gold(spark, sf, guard_recency=True):
-    """Gold over three arrivals; each is one epoch."""
+def _run_gold(spark, sf, guard_recency=True, fresh_from=9):
+    """Gold over three arrivals; each is one epoch. From ``fresh_from`` on, a new checkpoint."""
     root = new_folder(spark, "gold")
     for epoch, arrival in enumerate(_arrivals(spark, sf, root)):
         part = silver.latest_points_of(messages.type_points(arrival))
         part.write.parquet(f"{root}/silver/{silver.BATCH}={epoch}")
+        checkpoint = f"{root}/checkpoint-{epoch >= fresh_from}"
         runs.wait(
             gold.stream_gold(
-                spark,
-                f"{root}/silver",
-                f"{root}/gold",
-                f"{root}/checkpoint",
-                guard_recency=guard_recency,
-                buckets=8,
+                spark, f"{root}/silver", f"{root}/gold", checkpoint, guard_recency=guard_recency
             )
         )
     return f"{root}/gold"
@@ -505,7 +534,16 @@ def _run_gold(spark, sf, guard_recency=True):
 
 @query
 def stream_gold_history(spark, sf):
-    return S.shown(gold.read_history(spark, _run_gold(spark, sf)))
+    """The versions of three epochs are 1, 2 and 3."""
+    rows = gold.read_history(spark, _run_gold(spark, sf))
+    return S.shown(rows.withColumn("batch_id", F.col("version") - 1).drop("version"))
+
+
+@query
+def stream_history_after_reset(spark, sf):
+    """The third arrival comes under a new checkpoint, which reads all of silver again."""
+    rows = gold.read_history(spark, _run_gold(spark, sf, fresh_from=2))
+    return S.shown(rows.drop("version"))
 
 
 @query
@@ -513,6 +551,12 @@ def stream_gold_latest(spark, sf):
     return S.shown(gold.read_latest(spark, _run_gold(spark, sf)))
 
 
+@query
+def stream_gold_after_reset(spark, sf):
+    """A cleared checkpoint reads all of silver again: nothing is lost or hidden."""
+    return S.shown(gold.read_latest(spark, _run_gold(spark, sf, fresh_from=2)))
+
+
 @query
 def stream_gold_latest_unguarded(spark, sf):
     return S.shown(gold.read_latest(spark, _run_gold(spark, sf, guard_recency=False)))
@@ -520,9 +564,13 @@ def stream_gold_latest_unguarded(spark, sf):
 
 @query
 def stream_state_latest(spark, sf):
+    """State over three arrivals, one after the other."""
     root = new_folder(spark, "state")
-    source = messages.type_points(messages.decode_messages(S.messages(S.event_stream(spark, sf))))
-    runs.wait(silver.stream_latest_state(source, f"{root}/out", f"{root}/checkpoint"))
+    for arrival in _arrivals(spark, sf, root):
+        arrival.write.mode("append").parquet(f"{root}/bronze")
+        source = read_files(spark, f"{root}/bronze", C.STREAM_BRONZE_SCHEMA)
+        points = messages.type_points(source)
+        runs.wait(silver.stream_latest_state(points, f"{root}/out", f"{root}/checkpoint"))
     rows = silver.read_latest_state(spark, f"{root}/out")
     return S.shown(rows, "series_id", "ts_ingested", "year", "period", "periodName", "value")
 

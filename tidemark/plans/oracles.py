@@ -148,6 +148,9 @@ ORACLES: dict[str, str] = {
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' as ts_ingested,
     series_id, year, period, value, notes, is_latest
   from ({_MESSAGES})""",
+    "publish_window": f"""
+  select series_id || '|' || year || '|' || period as key, value from ({_MESSAGES})
+  where cast(series_id as int) between 1 and 99 and year between 2000 and 2030""",
     "decode_messages": f"""
   select case when ok then ts end as ts, case when ok then series_id end as series_id,
     case when ok then year end as year, case when ok then period end as period,
@@ -162,6 +165,7 @@ ORACLES: dict[str, str] = {
     "latest_per_series": _latest_events("user_id"),
     "latest_per_fact_key": _FACT_ROWS,
     "drop_duplicates": "select distinct user_id, event_type from events",
+    "drop_duplicates_newest": _latest_events("user_id, event_type"),
     "distinct_on_latest": """
   select distinct on (user_id) user_id, event_id, ts from events
   order by user_id, ts desc, event_id desc""",
@@ -172,6 +176,13 @@ ORACLES: dict[str, str] = {
   with held as ({_HELD}), later as ({_LATER})
   select * from held
   union all
+  select * from later where not exists (
+    select 1 from held
+    where held.user_id = later.user_id and held.event_type = later.event_type)""",
+    "history_conflict_staged": f"""
+  with held as ({_HELD}), later as ({_LATER})
+  select * from held
+  union all
   select * from later where not exists (
     select 1 from held
     where held.user_id = later.user_id and held.event_type = later.event_type)""",
@@ -243,6 +254,15 @@ ORACLES: dict[str, str] = {
     "stream_gold_history": _latest_points(
         _VALID, "shift, series_id", "ts desc", _SERVED + ", cast(shift as int) as batch_id"
     ),
+    "stream_gold_after_reset": _latest_points(_VALID, "series_id", "ts desc", _SERVED),
+    "stream_history_after_reset": f"""
+  select {_SERVED} from (
+    {_latest_points(_VALID, "shift, series_id", "ts desc", "*")})
+  where shift < 2
+  union all
+  select {_SERVED} from (
+    {_latest_points(_VALID, "series_id", "ts desc", "*")})
+  where shift = 2""",
     "stream_gold_latest": _latest_points(_VALID, "series_id", "ts desc", _SERVED),
     "stream_gold_latest_unguarded": _latest_points(
         _VALID, "series_id", "shift desc, ts desc", _SERVED

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import typing
+
 TABULAR_TYPE = "array<array<string>>"
 
 # Field names of the nested payload, and its words for "latest".
@@ -55,16 +57,17 @@ def tabular_records(
     The first inner list names the columns of the rest. The longer of header and
     record is cut, and of repeated header names the last one that is left counts.
     ``columns`` is the wanted projection; a name no header has comes back NULL.
-    Header places are found once per payload, and again only for short records.
+    Header places are found once per payload, below the explode, and again only for
+    short records. The document comes out of a generator, through which no filter is
+    pushed, so it is parsed once whatever is asked of its records.
     """
-    tables = payloads.select(_table(F.col(column)).alias("t")).where(F.size("t") > 1)
+    tables = payloads.select(F.explode(F.array(_table(F.col(column)))).alias("t"))
     header = F.get(F.col("t"), F.lit(0))
-    places = F.array(*[_last_position(header, c) for c in columns])
-    rows = tables.select(
-        header.alias("header"),
-        places.alias("at"),
-        F.explode(F.slice("t", 2, F.size("t"))).alias("row"),
-    )
+    places = F.array(*[_last_position(F.col("header"), c) for c in columns])
+    body = F.slice("t", 2, F.size("t"))
+    parts = tables.select(header.alias("header"), body.alias("body"))
+    placed = parts.select("header", places.alias("at"), "body")
+    rows = placed.select("header", "at", F.explode("body").alias("row"))
     short = F.size("row") < F.size("header")
     cut = F.slice("header", 1, F.size("row"))
 
@@ -94,14 +97,29 @@ def latest_points(payloads: DataFrame, column: str = "payload") -> DataFrame:
     data = F.col("data")
     flagged = F.filter(data, lambda p: p["latest"].isin(*LATEST_WORDS))
     pick = F.coalesce(F.get(flagged, F.lit(0)), F.get(data, F.lit(0)))
-    has_field = F.coalesce(*[F.col(f"pick.{f}").cast("string") for f in POINT_FIELDS]).isNotNull()
-    return (
-        _series(payloads, column)
-        .select("seriesID", pick.alias("pick"))
-        .where(has_field)
-        .select("seriesID", "pick.*")
-    )
 
+    def has_field(point: Column) -> Column:
+        return F.coalesce(*[point[f].cast("string") for f in POINT_FIELDS]).isNotNull()
+
+    chosen = F.filter(F.array(pick), has_field)
+    return _series(payloads, column).select("seriesID", F.inline(chosen))
 
-def choose_points(payloads: DataFrame, latest_only: bool, column: str = "payload") -> DataFrame:
-    return latest_points(payloads, column) if latest_only else all_points(payloads, column)
+
+def choose_points(
+    payloads: DataFrame,
+    latest_only: bool,
+    column: str = "payload",
+    series: Sequence[str] | None = None,
+    first_year: int | None = None,
+    last_year: int | None = None,
+) -> DataFrame:
+    """Points of the wanted series and years; a point without a year is in no range of years."""
+    points = latest_points(payloads, column) if latest_only else all_points(payloads, column)
+    if series is not None:
+        points = points.where(F.col("seriesID").isin(*series))
+    year = typing.integer(F.col("year"))
+    if first_year is not None:
+        points = points.where(year >= first_year)
+    if last_year is not None:
+        points = points.where(year <= last_year)
+    return points

@@ -31,7 +31,10 @@ def _bound(df: DataFrame, column: str, value) -> Column:
 def read_partitioned(
     spark: SparkSession, root: str, column: str | None = None, since: str | None = None
 ) -> DataFrame:
-    """A partitioned table; with ``since`` only the partitions from that value on are listed."""
+    """A partitioned table; with ``since`` only the partitions from that value on are read.
+
+    Planning lists the files of the whole table, as it does for any path.
+    """
     table = spark.read.parquet(root)
     if column is None or since is None:
         return table

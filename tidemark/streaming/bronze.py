@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,9 +18,15 @@ def publish_points(
     ts_ingested: Column | None = None,
     sink_format: str = "kafka",
     sink_options: dict[str, str] | None = None,
+    series: Sequence[str] | None = None,
+    first_year: int | None = None,
+    last_year: int | None = None,
 ) -> None:
-    """Encode the points of landed payloads and send them from the executors."""
-    messages = encode_points(choose_points(payloads, latest_only), ts_ingested)
+    """Encode the chosen points of landed payloads and send them from the executors."""
+    points = choose_points(
+        payloads, latest_only, series=series, first_year=first_year, last_year=last_year
+    )
+    messages = encode_points(points, ts_ingested)
     messages.write.format(sink_format).options(**(sink_options or {})).mode("append").save()
 
 

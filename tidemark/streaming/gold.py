@@ -1,9 +1,10 @@
 """Silver stream to gold: a history of arrivals and the latest row per series.
 
-Per micro-batch the newest row of every series is staged, then added to the
-history unless its key is held, and merged into the latest table. The commit of
-the latest table comes last and publishes both: readers ignore history batches
-beyond it.
+A micro-batch claims a version, adds the newest row of every series to the history
+unless its key is held, appends the same rows to the latest table as changes, and
+commits both at once. The commit names the run (the query's checkpoint) and the
+epoch, so a repeated epoch is skipped and a new checkpoint goes on where the table
+stands. An epoch writes what it brings and nothing else; see ``versions``.
 """
 
 from __future__ import annotations
@@ -16,17 +17,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import contracts as C
 from tidemark.functions import calendar
-from tidemark.operators import gate, merge
+from tidemark.operators import gate, merge, versions
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.layout import write_partitioned
+from tidemark.operators.layout import rebalance
 from tidemark.sources.streams import read_files
 from tidemark.streaming.runs import start
-from tidemark.streaming.silver import BATCH
+from tidemark.streaming.silver import run_of
 from tidemark.workspace import exists
 
-BUCKET = "bucket"
 DAY = "ingest_day"
-NAMED_DAYS = 1000
+KEYS = ("series_id",)
 OnBatch = Callable[[DataFrame, int], None]
 LATEST_ORDER = ("ts_ingested", "year", "period", "value", "periodname", "is_latest", "footnotes")
 
@@ -40,33 +40,34 @@ def latest_series_of(rows: DataFrame) -> DataFrame:
     return latest_per_key(rows, ("series_id",), LATEST_ORDER[:1], LATEST_ORDER[1:])
 
 
-def _held_folders(spark: SparkSession, history: str, staged: DataFrame) -> list[str]:
-    """History folders that can hold the instants of a batch.
-
-    Normally the few ingest days of the batch. A batch that is spread over very
-    many days looks at the whole history instead of naming them all.
-    """
-    days = staged.select(DAY).distinct().limit(NAMED_DAYS + 1).collect()
-    if len(days) > NAMED_DAYS:
-        folders = [history]
-    else:
-        folders = [f"{history}/{DAY}={r[0]}" for r in days]
-    return [f for f in folders if exists(spark, f)]
+def _history(spark: SparkSession, gold: str, seen: versions.Commit) -> DataFrame | None:
+    """Committed history rows with their day and version."""
+    if not exists(spark, f"{gold}/history"):
+        return None
+    return spark.read.parquet(f"{gold}/history").where(seen.sees(F.col(versions.VERSION)))
 
 
-def append_history(spark: SparkSession, history: str, staged: DataFrame, epoch: int) -> None:
-    """Add the staged rows whose (series, instant) is not held yet.
+def append_history(
+    spark: SparkSession, gold: str, staged: DataFrame, seen: versions.Commit, version: int
+) -> None:
+    """Add the staged rows whose (series, instant) is not held yet, under ``version``.
 
-    The instant is part of the key, so held rows are looked up on the ingest days
-    of the batch only. A replay ignores its own rows and replaces them.
+    The instant is part of the key, so held rows are looked up on the days of the
+    batch only: between its first and last day, and joined by day.
     """
-    rows = staged.withColumn(BATCH, F.lit(epoch))
-    folders = _held_folders(spark, history, staged)
-    if folders:
-        reader = spark.read.option("basePath", history).schema(rows.schema)
-        held = reader.parquet(*folders).where(F.col(BATCH) < epoch)
-        rows = merge.insert_if_absent_staged(held, rows, C.SERIES_HISTORY.keys)
-    write_partitioned(rows, history, (DAY, BATCH), replace_all=False)
+    rows, held = staged, _history(spark, gold, seen)
+    if held is not None:
+        span = staged.agg(F.min(DAY).alias("first"), F.max(DAY).alias("last")).first()
+        near = held.where(F.col(DAY).between(F.lit(span["first"]), F.lit(span["last"])))
+        keys = (*C.SERIES_HISTORY.keys, DAY)
+        rows = merge.insert_if_absent_staged(near, staged, keys).select(*staged.columns)
+    rows = rows.withColumn(versions.VERSION, F.lit(version))
+    (
+        rebalance(rows, (DAY,))
+        .write.mode("append")
+        .partitionBy(DAY, versions.VERSION)
+        .parquet(f"{gold}/history")
+    )
 
 
 def write_gold_batch(
@@ -74,41 +75,52 @@ def write_gold_batch(
     epoch: int,
     gold: str,
     guard_recency: bool = True,
-    buckets: int = 32,
     on_batch: OnBatch | None = None,
+    run: str | None = None,
+    fold_every: int = versions.FOLD_EVERY,
 ) -> None:
-    """History and latest of one micro-batch; running it again changes nothing."""
+    """History and latest of one micro-batch; a committed (run, epoch) is skipped.
+
+    The batch is read once: it is kept while its rejects and its newest rows are
+    written.
+    """
     spark = batch.sparkSession
-    rows = serving_rows(batch)
-    gate.rejected_rows(rows, C.SERIES_HISTORY).write.mode("overwrite").parquet(
-        f"{gold}/rejects/{BATCH}={epoch}"
-    )
-    path = f"{gold}/changes/{BATCH}={epoch}"
-    changes = latest_series_of(gate.valid_rows(rows, C.SERIES_HISTORY)).withColumns(
-        {
-            BUCKET: F.pmod(F.xxhash64("series_id"), F.lit(buckets)).cast("int"),
-            DAY: calendar.utc_wall_clock(F.col("ts_ingested")).cast("date"),
-        }
-    )
-    changes.write.mode("overwrite").parquet(path)
-
-    staged = spark.read.schema(changes.schema).parquet(path)
-    touched = merge.partition_folders(staged, (BUCKET,))
-    if not touched:
-        return
-    append_history(spark, f"{gold}/history", staged.drop(BUCKET), epoch)
-    merge.merge_version(
-        spark,
-        f"{gold}/latest",
-        staged.drop(DAY),
-        ("series_id",),
-        epoch,
-        (BUCKET,),
-        LATEST_ORDER if guard_recency else (),
-        touched=touched,
-    )
-    if on_batch is not None:
-        on_batch(staged.select(*C.SERVING_COLUMNS), epoch)
+    latest = f"{gold}/latest"
+    seen = versions.last_commit(spark, latest)
+    if not seen.has(run, epoch):
+        order = LATEST_ORDER if guard_recency else ()
+        versions.check_order(seen, order)
+        version = versions.claim(spark, latest, seen)
+        rows = serving_rows(batch).persist()
+        try:
+            gate.rejected_rows(rows, C.SERIES_HISTORY).write.parquet(
+                f"{gold}/rejects/{versions.VERSION}={version}"
+            )
+            changes = latest_series_of(gate.valid_rows(rows, C.SERIES_HISTORY))
+            versions.write_changes(latest, changes, version)
+        finally:
+            rows.unpersist()
+        staged = _changes(spark, latest, version)
+        if staged.isEmpty():
+            return
+        day = calendar.utc_wall_clock(F.col("ts_ingested")).cast("date")
+        append_history(spark, gold, staged.withColumn(DAY, day), seen, version)
+        seen = versions.commit(
+            spark, latest, seen, version, order=order, runs=versions.remembered(seen, run, epoch)
+        )
+        seen = versions.fold_if_due(spark, latest, KEYS, seen, fold_every)
+    else:
+        version = seen.version
+    if on_batch is not None and exists(spark, _folder(latest, version)):
+        on_batch(_changes(spark, latest, version), epoch)
+
+
+def _folder(latest: str, version: int) -> str:
+    return f"{latest}/changes/{versions.VERSION}={version}"
+
+
+def _changes(spark: SparkSession, latest: str, version: int) -> DataFrame:
+    return spark.read.parquet(_folder(latest, version)).select(*C.SERVING_COLUMNS)
 
 
 def stream_gold(
@@ -120,20 +132,20 @@ def stream_gold(
     max_files: int | None = None,
     max_bytes: str | None = None,
     guard_recency: bool = True,
-    buckets: int = 32,
     on_batch: OnBatch | None = None,
+    fold_every: int = versions.FOLD_EVERY,
 ) -> StreamingQuery:
     """Serve silver as history and latest.
 
     ``guard_recency=False`` lets a late older row replace a newer one, as a plain
-    database upsert does. ``buckets`` must stay the same for the life of the
-    table; size it so that one bucket is a comfortable file or a few. ``on_batch``
-    gets the staged rows and the epoch after the commit, for example to copy them
-    to a database; it may see an epoch twice.
+    database upsert does; it is fixed by a table's first batch. ``on_batch`` gets the
+    staged rows and the epoch after the commit, for example to copy them to a
+    database; it may see an epoch twice, and only the last one of a run again.
     """
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        write_gold_batch(batch, epoch, gold, guard_recency, buckets, on_batch)
+        run = run_of(spark, checkpoint)
+        write_gold_batch(batch, epoch, gold, guard_recency, on_batch, run, fold_every)
 
     rows = read_files(spark, silver, C.STREAM_SILVER_SCHEMA, max_files, max_bytes)
     writer = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -141,14 +153,20 @@ def stream_gold(
 
 
 def read_history(spark: SparkSession, gold: str) -> DataFrame | None:
-    """Committed history with the batch that brought each row."""
-    last = merge.last_version(spark, f"{gold}/latest")
-    if last is None:
-        return None
-    history = spark.read.parquet(f"{gold}/history").where(F.col(BATCH) <= last)
-    return history.select(*C.SERVING_COLUMNS, BATCH)
+    """Committed history with the version that brought each row."""
+    seen = versions.last_commit(spark, f"{gold}/latest")
+    history = _history(spark, gold, seen) if seen.version else None
+    return None if history is None else history.select(*C.SERVING_COLUMNS, versions.VERSION)
 
 
 def read_latest(spark: SparkSession, gold: str) -> DataFrame | None:
-    latest = merge.read_current(spark, f"{gold}/latest")
+    latest = versions.read_current(spark, f"{gold}/latest", KEYS)
     return None if latest is None else latest.select(*C.SERVING_COLUMNS)
+
+
+def fold_latest(spark: SparkSession, gold: str) -> None:
+    versions.fold(spark, f"{gold}/latest", KEYS)
+
+
+def expire_latest(spark: SparkSession, gold: str, keep: int = 2) -> list[str]:
+    return versions.expire(spark, f"{gold}/latest", keep)

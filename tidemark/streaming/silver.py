@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import contracts as C
 from tidemark.functions.messages import type_points
+from tidemark.operators import versions
 from tidemark.operators.latest import latest_by_aggregate, latest_per_key
 from tidemark.sources.streams import read_files
 from tidemark.streaming.runs import start
+from tidemark.workspace import exists, read_text
+
+RUN, BATCH = "run", "batch_id"
+
 
-BATCH = "batch_id"
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the query that a checkpoint belongs to; a cleared one gets another."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
 
 
 def latest_points_of(batch: DataFrame) -> DataFrame:
@@ -27,14 +36,18 @@ def stream_silver(
     max_files: int | None = None,
     max_bytes: str | None = None,
 ) -> StreamingQuery:
-    """Each micro-batch owns the folder ``batch_id=<epoch>``: a replay replaces it."""
+    """Each micro-batch owns the folder ``run=<query>/batch_id=<epoch>``.
+
+    A written folder is left alone by a replay, and a new checkpoint is another run,
+    so files that a reader has planned over stay as they are.
+    """
     source = read_files(spark, bronze, C.STREAM_BRONZE_SCHEMA, max_files, max_bytes)
     typed = type_points(source)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        if batch.isEmpty():
-            return
-        latest_points_of(batch).write.mode("overwrite").parquet(f"{silver}/{BATCH}={epoch}")
+        folder = f"{silver}/{RUN}={run_of(spark, checkpoint)}/{BATCH}={epoch}"
+        if not batch.isEmpty() and not exists(spark, f"{folder}/_SUCCESS"):
+            latest_points_of(batch).write.mode("overwrite").parquet(folder)
 
     writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return start(writer, every)
@@ -45,14 +58,17 @@ def stream_latest_state(
 ) -> StreamingQuery:
     """Latest row per series over all batches, kept in the state store.
 
-    Only the series a batch changed are written, as ``batch_id=<epoch>``; the last
-    folder that holds a series has its latest row. State is one row per series, so
-    a large run should use the RocksDB state store of the session.
+    Only the series that a batch changed are written, as changes of a table ordered
+    by ``C.POINT_RECENCY``; a fold now and then keeps what readers rank bounded by the
+    live state. State is one row per series, so a large run should use the RocksDB
+    state store of the session.
     """
     latest = latest_by_aggregate(points, ("series_id",), C.POINT_RECENCY, C.SERIES_TIE)
+    order = (*C.POINT_RECENCY, *C.SERIES_TIE)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/{BATCH}={epoch}")
+        run = run_of(batch.sparkSession, checkpoint)
+        versions.append(batch.sparkSession, out, batch, ("series_id",), order, run, epoch)
 
     writer = (
         latest.writeStream.outputMode("update")
@@ -62,6 +78,5 @@ def stream_latest_state(
     return start(writer, every)
 
 
-def read_latest_state(spark: SparkSession, out: str) -> DataFrame:
-    changes = spark.read.parquet(out)
-    return latest_per_key(changes, ("series_id",), (BATCH,), (BATCH,)).drop(BATCH)
+def read_latest_state(spark: SparkSession, out: str) -> DataFrame | None:
+    return versions.read_current(spark, out, ("series_id",))

@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the session names it.
-
-    Only a local session, where driver and executors are one process, may fall
-    back to a temporary folder.
-    """
+    """Folder every executor can reach, as the session names it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
-    raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+    if not root:
+        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+    return root.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -47,16 +39,31 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
     return path
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Put a small text file in place in one step: readers see all of it or none."""
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file unless it exists; False if it does."""
     fs, target = hadoop_path(spark, path)
-    _, part = hadoop_path(spark, f"{path}.part")
-    out = fs.create(part, True)
+    if fs.exists(target):
+        return False
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
     out.write(bytearray(text, "utf-8"))
     out.close()
-    fs.delete(target, False)
-    if not fs.rename(part, target):
-        raise OSError(f"cannot rename to {path}")
+    return True
+
+
+def names(spark: SparkSession, pattern: str) -> list[str]:
+    """Last names of the paths that a pattern matches."""
+    fs, jvm_path = hadoop_path(spark, pattern)
+    return [f.getPath().getName() for f in fs.globStatus(jvm_path) or []]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, jvm_path = hadoop_path(spark, path)
+    fs.delete(jvm_path, True)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
