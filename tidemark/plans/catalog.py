@@ -495,7 +495,7 @@ def stream_silver_latest(spark, sf):
     for arrival in _arrivals(spark, sf, root):
         arrival.write.mode("append").parquet(f"{root}/bronze")
         _run_silver(spark, root)
-    return S.shown(spark.read.parquet(f"{root}/silver"))
+    return S.shown(spark.read.parquet(f"{root}/silver").drop(silver.RUN))
 
 
 @query
@@ -504,7 +504,7 @@ def stream_restart(spark, sf):
     _decoded(spark, sf).write.parquet(f"{root}/bronze")
     _run_silver(spark, root)
     _run_silver(spark, root)
-    return S.shown(spark.read.parquet(f"{root}/silver"))
+    return S.shown(spark.read.parquet(f"{root}/silver").drop(silver.RUN))
 
 
 @query
@@ -514,7 +514,7 @@ def stream_empty_source(spark, sf):
     _run_silver(spark, root)
     _decoded(spark, sf).write.mode("append").parquet(f"{root}/bronze")
     _run_silver(spark, root)
-    return S.shown(spark.read.parquet(f"{root}/silver"))
+    return S.shown(spark.read.parquet(f"{root}/silver").drop(silver.RUN))
 
 
 def _run_gold(spark, sf, guard_recency=True, fresh_from=9):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -9,11 +10,19 @@ from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the session names it."""
+    """Folder every executor can reach, as the session names it.
+
+    Only a local session, where driver and executors are one process, may fall
+    back to a temporary folder.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        root = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", root)
+        return root
+    raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
