@@ -77,6 +77,8 @@ class Model:
 
 def build(counted: dict[str, Counter]) -> Model:
     """Flatten the trees: every run that any language has, priced in each language."""
+    if not counted:
+        return Model([], {}, {}, np.zeros((0, 0)))
     languages = sorted(counted)
     nodes: list[dict[bytes, list[int]]] = []
     for language in languages:
@@ -88,7 +90,7 @@ def build(counted: dict[str, Counter]) -> Model:
         nodes.append(tree)
     rows: list[list[float]] = []
     escapes: dict[bytes, int] = {}
-    for context in sorted(set().union(*nodes)) if nodes else []:
+    for context in sorted(set().union(*nodes)):
         escapes[context] = len(rows)
         rows.append(
             [
@@ -100,7 +102,7 @@ def build(counted: dict[str, Counter]) -> Model:
         )
     at: dict[bytes, int] = {}
     nothing = [0.0] * len(languages)
-    for run in sorted(set().union(*counted.values()), key=len) if counted else []:
+    for run in sorted(set().union(*counted.values()), key=len):
         context, shorter = run[:-1], run[1:]
         below = rows[at[shorter]] if len(run) > 1 else [8.0] * len(languages)
         escape = rows[escapes[context]] if context in escapes else nothing

@@ -303,6 +303,8 @@ def fit(
         )
 
     row = sample.repartition(1).mapInArrow(run, "weights binary, bias double").first()
+    if row is None:  # no task had a row
+        return train([], [])
     return Model(np.frombuffer(bytes(row.weights), np.float32), row.bias)
 
 
