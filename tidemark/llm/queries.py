@@ -91,10 +91,11 @@ def op10_cap_near_dedup(spark, sf_dir):
 ORACLES: dict[str, str] = {
     "op6_exact_top_k": """
         WITH v AS (
-            SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+            SELECT DISTINCT vec_id,
+                [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS q
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
         ), scored AS (
             SELECT a.vec_id AS query_id, b.vec_id,
                    CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
