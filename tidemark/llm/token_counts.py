@@ -19,14 +19,14 @@ from collections import Counter
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import map_texts, slices, texts_of
+from tidemark.llm.rows import map_texts
 
 #: Rows read to choose the frequent pre-tokens. They decide speed only, never a count.
 SAMPLE_ROWS = 3_000
+SAMPLE_BYTES = 8_000
 #: Most entries of the broadcast table (about 1 MB) and of a worker's cache of misses.
 FREQUENT = 100_000
 CACHED = 200_000
@@ -107,26 +107,18 @@ def frequent_pre_tokens(
 ) -> tuple[str, bytes]:
     """The most frequent pre-tokens of a sample and their lengths, in compact form.
 
-    Entries are joined by null characters; lengths are 16-bit numbers.
+    The sample is the first rows found of at most ``SAMPLE_BYTES`` bytes: reading
+    stops there, so it costs the same at any size of the table. Entries are joined by
+    null characters; lengths are 16-bit numbers.
     """
-
-    def tally(batches):
-        seen = Counter()
-        for part in slices(batches):
-            for text in texts_of(part.column(0)):
-                if text:
-                    seen.update(pre_tokens(text))
-        model = load(model_path)
-        units = [u for u, _ in seen.most_common(limit) if len(u) < 64 and "\0" not in u]
-        lengths = np.array(lengths_of(model, units), "<u2")
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(["\0".join(units)]), pa.array([lengths.tobytes()], pa.binary())],
-            ["units", "lengths"],
-        )
-
-    sample = docs.select(F.col(text_col).cast("string").alias("text")).limit(sample_rows)
-    row = sample.coalesce(1).mapInArrow(tally, "units string, lengths binary").first()
-    return (row.units, bytes(row.lengths)) if row else ("", b"")
+    text = F.col(text_col).cast("string").alias("text")
+    sample = docs.select(text).where(F.octet_length("text").between(1, SAMPLE_BYTES))
+    seen = Counter()
+    for row in sample.take(sample_rows):
+        seen.update(pre_tokens(row.text))
+    model = load(model_path)
+    units = [u for u, _ in seen.most_common(limit) if len(u) < 64 and "\0" not in u]
+    return "\0".join(units), np.array(lengths_of(model, units), "<u2").tobytes()
 
 
 def count_tokens(
