@@ -94,3 +94,16 @@ def test_all_filters_are_decoded():
     for row, found in enumerate(code.decode(x)):
         want = np.flatnonzero((left[row][:, None] + right[row][None, :] >= code.alpha).ravel())
         assert set(want) ^ set(found) <= set()
+
+
+@pytest.mark.parametrize("n", [2_000, 50_000, 400_000])
+@pytest.mark.parametrize("cosine", [0.95, 0.97, 0.999])
+def test_pairs_meet_at_any_number_of_vectors(n, cosine):
+    rng = np.random.default_rng(17)
+    x, y = rng.normal(size=(2, 1_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (y * x).sum(1, keepdims=True) * x
+    y = cosine * x + (1 - cosine**2) ** 0.5 * y / np.linalg.norm(y, axis=1, keepdims=True)
+    ours, theirs = (capdedup.filters_of(v, n, 0.95) for v in (x, y))
+    assert min(map(len, ours)) >= capdedup.PER_VECTOR
+    assert sum(bool(set(a) & set(b)) for a, b in zip(ours, theirs)) >= 995

@@ -1,23 +1,28 @@
 """Near duplicates of embeddings by spherical-cap filters.
 
-A filter is a direction; a vector passes it if its cosine with the direction is at
-least ``alpha``, so vectors at a small angle pass many filters together. Directions
-are a random product code: a random rotation, then the space in two blocks with a
-code of random unit vectors each; every pair of code words is a direction. All
-filters that a vector passes are list-decoded from the products of its blocks with
-the words: sorted by size, pairs are taken while they reach ``alpha``. Vectors meet
-in their filters and cosines decide.
-
-The cap follows from the number of vectors: a filter is passed by about
-``PER_FILTER`` of them and a vector passes about ``PER_VECTOR`` filters, so the work
-per vector stays the same at any size. A filter that a large group passes is cut
-into chunks whose pairs are tasks of their own. Pairs are counted where they first
-meet and never leave the task: it returns counts, and one link per vector of a
-component.
+A filter is a direction; a vector passes it if its cosine with the direction reaches
+its cap, so vectors at a small angle pass many filters together. Directions are a
+random product code: a random rotation, then the space in two blocks with a code of
+random unit vectors each; every pair of code words is a direction. All filters that
+a vector passes are list-decoded from the products of its blocks with the words:
+sorted by size, pairs are taken while they reach the cap. Vectors meet in their
+filters and cosines decide.
+
+A vector's cap is where it passes ``PER_VECTOR`` filters of a code, so none passes too
+few. The words follow from the number of vectors: about ``PER_FILTER`` of them pass a
+filter. What one code misses grows slowly with that number, so there are as many codes,
+each rotated by itself, as it takes for a pair at the threshold to meet in none of them
+with probability ``MISS`` at most. As rotations are random, that holds for every pair
+alike, wherever it lies.
+
+A filter that a large group passes is cut into chunks whose pairs are tasks of their
+own. Pairs are counted where they first meet and never leave the task: it returns
+counts, and one link per vector of a component.
 """
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +36,11 @@ from tidemark.llm.rows import slices
 from tidemark.workspace import new_folder
 
 PER_FILTER = 4
-PER_VECTOR = 20
+PER_VECTOR = 16
+#: The most probable it may be that a pair at the threshold passes no filter together.
+MISS = 1e-3
+#: Pairs drawn at the threshold to see what one code misses.
+TRIALS = 2_048
 #: Vectors of one chunk of a filter.
 CHUNK = 1_024
 #: Vectors of fewer components are padded with zeros to this many, which keeps their cosines.
@@ -46,15 +55,35 @@ def cap(p: float, d: int) -> float:
     return float(u[np.argmax(tail <= p)])
 
 
+@lru_cache(maxsize=16)
+def _best_ranks(least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks in two lists whose pair can be among the ``least`` largest sums."""
+    pairs = [(i, j) for i in range(least) for j in range(least // (i + 1))]
+    return tuple(np.array(pairs).T)
+
+
+def _own_cap(x: np.ndarray, falling: np.ndarray, least: int) -> float:
+    """The size that ``least`` sums of a number of ``x`` and one of ``falling`` reach."""
+    best = -np.sort(-x)[:least]
+    i, j = _best_ranks(least)
+    there = (i < len(best)) & (j < len(falling))
+    sums = best[i[there]] + falling[j[there]]
+    # A little lower, so that rounding keeps the last one.
+    return float(np.partition(sums, len(sums) - least)[len(sums) - least]) - 1e-12
+
+
 class ProductCode:
-    """Filters for vectors of ``size`` components among about ``n`` vectors."""
+    """Filters for vectors of ``size`` components among about ``n`` vectors.
+
+    Codes of another ``number`` are drawn independently.
+    """
 
-    def __init__(self, size: int, n: int):
+    def __init__(self, size: int, n: int, number: int = 0):
         self.size, self.d = size, max(size, LEAST_DIMENSIONS)
         p = min(1e-3, PER_FILTER / max(n, 1))
         self.words = max(8, round((PER_VECTOR / p) ** 0.5))
         self.alpha = cap(p, self.d)
-        rng = np.random.default_rng(64_023)
+        rng = np.random.default_rng(64_023 + number)
         self.rotation = np.linalg.qr(rng.normal(size=(self.d, self.d)))[0]
         self.cut = self.d // 2
         self.codes = []
@@ -63,8 +92,11 @@ class ProductCode:
             code *= (width / self.d) ** 0.5 / np.linalg.norm(code, axis=1, keepdims=True)
             self.codes.append(code)
 
-    def decode(self, vectors: np.ndarray) -> list[np.ndarray]:
-        """Sorted numbers of all filters that each unit vector passes."""
+    def decode(self, vectors: np.ndarray, least: int = 0) -> list[np.ndarray]:
+        """Sorted numbers of all filters that each unit vector passes.
+
+        The cap is ``alpha``, or each vector's own at which it passes ``least``.
+        """
         padded = np.zeros((len(vectors), self.d))
         padded[:, : self.size] = vectors
         turned = padded @ self.rotation
@@ -74,16 +106,37 @@ class ProductCode:
         for x, y in zip(first, second):
             order = np.argsort(-y)
             ranked = -y[order]
-            rows = np.flatnonzero(x + y.max() >= self.alpha)
-            reach = np.searchsorted(ranked, x[rows] - self.alpha, side="right")
+            alpha = _own_cap(x, -ranked, least) if least else self.alpha
+            rows = np.flatnonzero(x + y.max() >= alpha)
+            reach = np.searchsorted(ranked, x[rows] - alpha, side="right")
             passed = [row * self.words + order[:n] for row, n in zip(rows.tolist(), reach.tolist())]
             found.append(np.sort(np.concatenate(passed)) if passed else np.zeros(0, np.int64))
         return found
 
 
 @lru_cache(maxsize=16)
-def product_code(size: int, n: int) -> ProductCode:
-    return ProductCode(size, n)
+def product_codes(size: int, n: int, threshold: float) -> list[ProductCode]:
+    """As many codes as keep the misses at ``threshold`` under ``MISS``, by trials with the first."""
+    first = ProductCode(max(size, LEAST_DIMENSIONS), n)
+    one, other = np.random.default_rng(95).normal(size=(2, TRIALS, first.d))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (other * one).sum(1, keepdims=True) * one
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    other = threshold * one + max(0.0, 1 - threshold**2) ** 0.5 * other
+    passed = zip(first.decode(one, PER_VECTOR), first.decode(other, PER_VECTOR))
+    missed = sum(not len(np.intersect1d(a, b, True)) for a, b in passed)
+    codes = math.ceil(math.log(MISS) / math.log((missed + 1) / (TRIALS + 2)))
+    return [ProductCode(size, n, number) for number in range(codes)]
+
+
+def filters_of(units: np.ndarray, n: int, threshold: float) -> list[np.ndarray]:
+    """Sorted numbers of the filters of all codes that each unit vector passes."""
+    codes = product_codes(units.shape[1], n, threshold)
+    passed = [
+        [filters + number * code.words**2 for filters in code.decode(units, PER_VECTOR)]
+        for number, code in enumerate(codes)
+    ]
+    return [np.concatenate(each) for each in zip(*passed)]
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -99,7 +152,7 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, kind))
 
 
-def decoded(classes: DataFrame, n: int) -> DataFrame:
+def decoded(classes: DataFrame, n: int, threshold: float) -> DataFrame:
     """``classes`` with the filters that each passes; vectors become unit vectors.
 
     A filter's number is joined with the number of components, so that only vectors
@@ -125,7 +178,7 @@ def decoded(classes: DataFrame, n: int) -> DataFrame:
                 some = np.stack([vectors[i] for i in rows])
                 some = some / np.abs(some).max(1, keepdims=True)
                 some /= np.linalg.norm(some, axis=1, keepdims=True)
-                for i, unit, passed in zip(rows, some, product_code(size, n).decode(some)):
+                for i, unit, passed in zip(rows, some, filters_of(some, n, threshold)):
                     units[i], filters[i] = unit, passed * 65_536 + size
             yield pa.RecordBatch.from_arrays(
                 [
@@ -234,7 +287,7 @@ def near_duplicates(
         F.first("vector").alias("vector"),
     )
     classes = _stored(classes, "classes")
-    found = _stored(decoded(classes, classes.count()), "filters")
+    found = _stored(decoded(classes, classes.count(), threshold), "filters")
 
     places = found.select("class_id", F.explode("filters").alias("filter"))
     sizes = places.groupBy("filter").agg(F.count("*").alias("n")).where("n > 1")
