@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 from collections import Counter
 
 import pytest
@@ -52,6 +53,36 @@ def test_one_class_or_none():
     assert toxicity.Scorer(toxicity.train(["a b"], [1])).score("") > 0.5
 
 
+def test_every_ngram_of_long_runs_is_read():
+    rng = random.Random(9)
+    for n in (41, 45, 46, 60, 61, 64, 65, 66, 300, 1_001):
+        run = "".join(rng.choices("abcdefghij漢字の", k=n))
+        read = {b for word in toxicity.words_of(run) for b in toxicity.subwords(word)}
+        raw = run.encode()
+        grams = (raw[i : i + k] for k in range(3, 7) for i in range(len(raw) - k + 1))
+        assert all(zlib.crc32(gram) % toxicity.BUCKETS in read for gram in grams)
+        assert max(map(len, toxicity.words_of(run))) <= toxicity.WORD
+    for space in "\u00a0\u200b\u3000。、—":
+        assert toxicity.words_of(space.join(["one", "two"] * 20)) == [b"one", b"two"] * 20
+
+
+def test_toxic_words_in_text_without_spaces():
+    rng = random.Random(10)
+    letters = [chr(0x4E00 + i) for i in range(2_000)]
+    bad = ["".join(rng.choices(letters, k=4)) for _ in range(3)]
+
+    def text(toxic):
+        found = rng.choices(letters, k=rng.randint(60, 300))
+        if toxic:
+            found.insert(rng.randint(20, len(found) - 20), rng.choice(bad))
+        return "".join(found)
+
+    labels = [int(i % 3 == 0) for i in range(600)]
+    scorer = toxicity.Scorer(toxicity.train([text(label) for label in labels], labels))
+    wrong = sum((scorer.score(text(label)) >= 0.5) != label for label in (0, 1) for _ in range(100))
+    assert wrong <= 0.05 * 200
+
+
 def test_toxicity_of_hard_rows(spark, model):
     docs = clashing(documents(spark))
     rows = toxicity.score_documents(docs, model).collect()

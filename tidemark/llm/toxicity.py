@@ -5,7 +5,9 @@ A word is the mean of the vectors of its character n-grams and of itself, a pass
 reads the passage's vector. Vectors and softmax are trained jointly in numpy by
 gradient descent, so that unseen inflections and misspellings share what their
 n-grams have learned. A text scores as its worst passage: a few bad words weigh
-the same in a short text and in a long one.
+the same in a short text and in a long one. Words end at spaces and punctuation of
+any script. A longer run, as in scripts that write no spaces, is cut into pieces that
+are words each and overlap, so that every n-gram of it is read.
 
 Training reads a bounded sample of labelled rows (``SampleBounds``); scoring covers
 every passage of every text. For scoring, each bucket's vector is reduced to the
@@ -15,6 +17,8 @@ is broadcast; a worker caches words.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from dataclasses import dataclass
 from itertools import chain
@@ -30,6 +34,8 @@ BUCKETS = 1 << 18
 DIMENSIONS = 8
 PASSAGE = 4
 SHORTEST, LONGEST = 3, 6
+#: Bytes of the longest run that is one word, and bytes from piece to piece of a longer one.
+WORD, PIECE = 40, 12
 #: Steps of rarely moved buckets are damped, so that chance does not become evidence.
 DAMPING = 0.02
 CACHED = 200_000
@@ -54,18 +60,31 @@ _TO_WORDS = bytes(
 )
 
 
+#: Spaces and punctuation beyond ASCII, also those of no width that part words.
+_SEPARATORS = re.compile(
+    "[%s\x85\u200b\u2060\ufeff]+"
+    % "".join(c for c in map(chr, range(128, 1 << 16)) if unicodedata.category(c)[0] in "ZP")
+)
+
+
+def _pieces(run: bytes) -> list[bytes]:
+    """Pieces of a long run; each n-gram of the run lies within one."""
+    last = max(1, len(run) - LONGEST + 1)
+    return [run[i : i + PIECE + LONGEST - 1] for i in range(0, last, PIECE)]
+
+
 def words_of(text: str) -> list[bytes]:
-    return text.encode().translate(_TO_WORDS).split()
+    if not text.isascii():
+        text = _SEPARATORS.sub(" ", text)
+    words = text.encode().translate(_TO_WORDS).split()
+    if words and max(map(len, words)) > WORD:
+        words = list(chain.from_iterable(_pieces(w) if len(w) > WORD else (w,) for w in words))
+    return words
 
 
 def subwords(word: bytes) -> list[int]:
-    """Buckets of a word and of its n-grams of bytes, with its ends marked.
-
-    A very long word has those of its first and last bytes; it is no natural word.
-    """
+    """Buckets of a word and of its n-grams of bytes, with its ends marked."""
     crc = zlib.crc32
-    if len(word) > 64:
-        word = word[:32] + word[-32:]
     marked = b"<" + word + b">"
     found = {crc(marked)}
     for size in range(SHORTEST, min(LONGEST, len(marked)) + 1):
