@@ -94,3 +94,13 @@ def test_hard_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.pseudonymise(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_full_formats_are_widened(spark):
+    texts = ["Password: ********", "Password: ....", "pwd=-----", "pwd=***7", *(f"{c}@full.example" for c in "abcdefghijklmnopqrstuvwxyz")]
+    out = _run(spark, texts)
+    assert len({r.text for r in out.values()}) == len(texts)
+    assert not {r.text for r in out.values()} & set(texts)
+    assert re.fullmatch("Password: [a-z]{8,}", out[0].text) and out[4].text.endswith(".example")
+    phones = [f"call +1 {i // 100 % 10} {i % 100:02d} 0{i // 1000}" for i in range(1_000)]
+    assert len({r.text for r in _run(spark, phones).values()}) == len(phones)

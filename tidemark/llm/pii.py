@@ -5,7 +5,7 @@ lower case of an address), so that one person's data has one surrogate however i
 is written. The corpus' distinct canonical forms draw surrogates by a keyed hash:
 same kind, same format; names keep script and gender. A draw is refused if another
 form of its kind drew the same, or if it equals a real one of the corpus; refused
-forms draw again, until all surrogates are distinct. So distinct entities stay
+forms draw again, after some draws with more characters, until all are distinct. So distinct entities stay
 distinct and equal ones equal, in and across documents. Last, each occurrence is
 written in its own format.
 
@@ -17,6 +17,7 @@ without a shuffle. Texts that are equal share one row there.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +58,8 @@ PATTERNS = {
 ENTITY = "|".join(PATTERNS.values())
 _SECRET_PREFIX = r"^(?i:password|passwd|pwd)[\"']? ?[=:] ?[\"']?"
 DEFAULT_KEY = "tidemark"
-MOST_ATTEMPTS = 60
+#: Draws in an entity's own format; each later one is a character longer than the one before.
+OWN_FORMAT = 8
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -140,6 +142,11 @@ def draw(kind: Column, form: Column, key: str, attempt: int) -> Column:
     octets = [_number(noise, F.lit(i), 254) + 1 for i in range(4)]
     script = F.substring_index(form, " ", 1)
     length = 3 + attempt // 3
+    wide = F.sha2(F.concat(seed, F.lit("w")), 256)
+    more = max(0, attempt - OWN_FORMAT + 1)
+    letters, digits = (_filled(F.lit(x * more), wide) if more else F.lit("") for x in "a0")
+    # A secret without letters and digits is drawn as letters.
+    shape = F.when(form.rlike(r"[\p{L}0-9]"), form).otherwise(F.repeat(F.lit("a"), F.length(form)))
 
     def family(name: str) -> Column:
         parts = [_chosen(SYLLABLES[name], noise, i) for i in range(length)]
@@ -149,20 +156,21 @@ def draw(kind: Column, form: Column, key: str, attempt: int) -> Column:
         F.when(
             kind == "email",
             F.concat(
-                _filled(local, noise), F.lit("@"), _filled(F.lit("aaaaaa"), domain_noise), F.lit(".example")
+                _filled(local, noise), letters, F.lit("@"), _filled(F.lit("aaaaaa"), domain_noise), F.lit(".example")
             ),
         )
-        .when(kind == "key", F.concat(F.left(form, F.lit(4)), F.left(F.upper(noise), F.lit(16))))
-        .when(kind == "hex", F.left(noise, F.length(form)))
+        .when(kind == "key", F.concat(F.left(form, F.lit(4)), F.left(F.upper(noise), F.lit(16)), letters))
+        .when(kind == "hex", F.concat(F.left(noise, F.length(form)), digits))
         .when(
             kind == "phone",
-            F.concat(F.left(form, F.lit(2)), _filled(F.substring(form, 3, 100), noise)),
+            F.concat(F.left(form, F.lit(2)), _filled(F.substring(form, 3, 100), noise), digits),
         )
-        .when(kind == "card", F.concat(F.left(form, F.lit(1)), _filled(F.substring(form, 2, 100), noise)))
-        .when(kind == "ip", F.concat_ws(".", *[x.cast("string") for x in octets]))
+        .when(kind == "card", F.concat(F.left(form, F.lit(1)), _filled(F.substring(form, 2, 100), noise), digits))
+        .when(kind == "ip", F.concat(F.concat_ws(".", *[x.cast("string") for x in octets]), digits))
         .when((kind == "name") & (script == "cyrillic"), family("cyrillic"))
         .when(kind == "name", family("latin"))
-        .otherwise(_filled(form, noise))
+        .when(kind == "ssn", F.concat(_filled(form, noise), digits))
+        .otherwise(F.concat(_filled(shape, noise), letters))
     )
 
 
@@ -174,7 +182,7 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
     """
     forms = _stored(forms.select("kind", "form").distinct(), "forms")
     left, settled = forms, []
-    for attempt in range(MOST_ATTEMPTS):
+    for attempt in count():
         drawn = _stored(
             left.withColumn("surrogate", draw(F.col("kind"), F.col("form"), key, attempt)), "draws"
         )
@@ -189,18 +197,19 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
         left = _stored(left.join(good, ["kind", "form"], "left_anti"), "left")
         if left.isEmpty():
             return reduce(DataFrame.unionAll, settled)
-    raise ValueError("a kind has more entities than its format can tell apart")
 
 
 def _poured(entity: Column, form: Column) -> Column:
-    """``entity`` with its digits replaced in order by those of ``form``."""
+    """``entity`` with its digits replaced in order by those of ``form``; more follow at the end."""
     digits = F.regexp_replace(form, "[^0-9]", "")
 
     def digit(letter: Column, at: Column) -> Column:
         before = F.length(F.regexp_replace(F.substring(entity, F.lit(1), at + 1), "[^0-9]", ""))
         return F.when(letter.rlike("^[0-9]$"), F.substring(digits, before, F.lit(1))).otherwise(letter)
 
-    return F.array_join(F.transform(F.split(entity, ""), digit), "")
+    own = F.length(F.regexp_replace(entity, "[^0-9]", ""))
+    rest = F.substring(digits, own + 1, F.length(digits))
+    return F.concat(F.array_join(F.transform(F.split(entity, ""), digit), ""), rest)
 
 
 def written(kind: Column, entity: Column, surrogate: Column, key: str) -> Column:
