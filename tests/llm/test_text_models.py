@@ -77,7 +77,7 @@ def test_toxic_words_in_text_without_spaces():
             found.insert(rng.randint(20, len(found) - 20), rng.choice(bad))
         return "".join(found)
 
-    labels = [int(i % 3 == 0) for i in range(600)]
+    labels = [int(i % 3 == 0) for i in range(1_200)]
     scorer = toxicity.Scorer(toxicity.train([text(label) for label in labels], labels))
     wrong = sum((scorer.score(text(label)) >= 0.5) != label for label in (0, 1) for _ in range(100))
     assert wrong <= 0.05 * 200
