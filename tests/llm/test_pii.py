@@ -104,3 +104,13 @@ def test_full_formats_are_widened(spark):
     assert re.fullmatch("Password: [a-z]{8,}", out[0].text) and out[4].text.endswith(".example")
     phones = [f"call +1 {i // 100 % 10} {i % 100:02d} 0{i // 1000}" for i in range(1_000)]
     assert len({r.text for r in _run(spark, phones).values()}) == len(phones)
+
+
+def test_first_names_of_a_family_stay_distinct(spark):
+    names = [f"{title} {first} Smith" for title in ("Mr", "Mrs") for first in map("Ab{}".format, "cdefghijklmnopq")]
+    names += ["Mr Adam Smith", "Госпожа Анна Иванова", "Госпожа Вера Иванова"]
+    out = _run(spark, [*names, "Mr. Adam Smith"])
+    texts = [out[i].text for i in range(len(names))]
+    assert len(set(texts)) == len(names) and not set(texts) & set(names)
+    assert len({text.split()[-1] for text in texts}) == 2 and "Adam Smith" not in out[30].text
+    assert out[len(names)].text.split()[1:] == out[30].text.split()[1:]

@@ -93,7 +93,10 @@ def script_of(entity: Column) -> Column:
 
 
 def canonical(kind: Column, entity: Column) -> Column:
-    """What all spellings of an entity share; a name's is its last word, with its script."""
+    """What all spellings of an entity share; a name's is its last word, with its script.
+
+    First names have a form of their own, see ``first_name``.
+    """
     digits = F.regexp_replace(entity, "[^0-9+]", "")
     return (
         F.when(kind == "email", F.lower(entity))
@@ -107,6 +110,19 @@ def canonical(kind: Column, entity: Column) -> Column:
     )
 
 
+def _female(entity: Column) -> Column:
+    title = F.regexp_replace(F.get(F.split(entity, " "), F.lit(0)), r"\.", "")
+    return title.isin(*FEMALE_TITLES)
+
+
+def first_name(entity: Column) -> Column:
+    """The form of a name's first name, "script gender family first"; null if it has none."""
+    words = F.split(F.lower(entity), " ")
+    gender = F.when(_female(entity), "f").otherwise("m")
+    form = F.concat_ws(" ", script_of(entity), gender, F.get(words, F.lit(2)), F.get(words, F.lit(1)))
+    return F.when(F.size(words) > 2, form)
+
+
 def _number(noise: Column, at: Column, below: int) -> Column:
     """A number below ``below`` from four hexadecimal digits of ``noise``."""
     place = 4 * F.pmod(at, F.lit(30)) + 1
@@ -152,8 +168,18 @@ def draw(kind: Column, form: Column, key: str, attempt: int) -> Column:
         parts = [_chosen(SYLLABLES[name], noise, i) for i in range(length)]
         return F.concat(F.lit(name + " "), F.lower(F.concat(*parts)))
 
+    def first(name: str, gender: str) -> Column:
+        syllables = [_chosen(SYLLABLES[name], wide, i) for i in range(max(0, attempt - 3))]
+        return F.lower(F.concat(_chosen(FIRST_NAMES[name, gender], noise, 1), *syllables))
+
+    own = F.substring_index(form, " ", 2)
+    firsts = F.when(F.lit(False), "")
+    for name, gender in FIRST_NAMES:
+        firsts = firsts.when(own == f"{name} {gender}", first(name, gender))
+
     return (
-        F.when(
+        F.when(kind == "first", F.concat_ws(" ", F.substring_index(form, " ", 3), firsts))
+        .when(
             kind == "email",
             F.concat(
                 _filled(local, noise), letters, F.lit("@"), _filled(F.lit("aaaaaa"), domain_noise), F.lit(".example")
@@ -212,19 +238,11 @@ def _poured(entity: Column, form: Column) -> Column:
     return F.concat(F.array_join(F.transform(F.split(entity, ""), digit), ""), rest)
 
 
-def written(kind: Column, entity: Column, surrogate: Column, key: str) -> Column:
-    """``surrogate`` in the format of ``entity``."""
+def written(kind: Column, entity: Column, surrogate: Column, first_surrogate: Column) -> Column:
+    """``surrogate`` in the format of ``entity``; a name with a first name takes that of its own."""
     words = F.split(entity, " ")
     title = F.get(words, F.lit(0))
-    noise = F.sha2(F.concat_ws("|", F.lit(key), F.lower(F.get(words, F.lit(1)))), 256)
-    female = F.regexp_replace(title, r"\.", "").isin(*FEMALE_TITLES)
-    cyrillic = script_of(entity) == "cyrillic"
-    first = (
-        F.when(cyrillic & female, _chosen(FIRST_NAMES["cyrillic", "f"], noise, 1))
-        .when(cyrillic, _chosen(FIRST_NAMES["cyrillic", "m"], noise, 1))
-        .when(female, _chosen(FIRST_NAMES["latin", "f"], noise, 1))
-        .otherwise(_chosen(FIRST_NAMES["latin", "m"], noise, 1))
-    )
+    first = F.initcap(F.substring_index(first_surrogate, " ", -1))
     last = F.initcap(F.substring_index(surrogate, " ", -1))
     name = F.when(F.size(words) > 2, F.concat_ws(" ", title, first, last)).otherwise(
         F.concat_ws(" ", title, last)
@@ -252,11 +270,19 @@ def replacements(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
     entity, kind = F.col("entity"), F.col("kind")
     placed = found.withColumn("kind", kind_of(entity)).where(kind.isNotNull())
     placed = placed.withColumn("form", canonical(kind, entity))
-    drawn = _stored(surrogates(placed, key), "surrogates")
-    replaced = placed.join(drawn, ["kind", "form"]).select(
+    placed = placed.withColumn("first_form", F.when(kind == "name", first_name(entity)))
+    firsts = placed.where("first_form is not null").select(
+        F.lit("first").alias("kind"), F.col("first_form").alias("form")
+    )
+    drawn = surrogates(placed.select("kind", "form").unionAll(firsts), key)
+    drawn = _stored(drawn, "surrogates")
+    first_drawn = drawn.where("kind = 'first'").select(
+        F.col("form").alias("first_form"), F.col("surrogate").alias("first_surrogate")
+    )
+    replaced = placed.join(drawn, ["kind", "form"]).join(first_drawn, "first_form", "left").select(
         "text_key",
         "kind",
-        F.struct(entity, written(kind, entity, F.col("surrogate"), key).alias("surrogate")).alias("e"),
+        F.struct(entity, written(kind, entity, F.col("surrogate"), F.col("first_surrogate")).alias("surrogate")).alias("e"),
     )
     return _stored(
         replaced.groupBy("text_key").agg(
