@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, capdedup, langid, licenses, minhash, packing, pii, token_counts, topk, toxicity
+from tidemark.llm import (
+    alignment,
+    bpe,
+    capdedup,
+    fim,
+    langid,
+    licenses,
+    minhash,
+    packing,
+    pii,
+    token_counts,
+    topk,
+    toxicity,
+    vector_packing,
+)
 from tidemark.llm.rows import crc_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +101,25 @@ def op10_cap_near_dedup(spark, sf_dir):
     return capdedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+@query
+def op11_vector_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return vector_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    return fim.digest(fim.transform_documents(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_tokenizer_alignment(spark, sf_dir):
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents")
+    aligned = alignment.align_documents(docs, *paths, digest=True)
+    return alignment.with_pair_counts(aligned).withColumnRenamed("groups", "groups_sha256")
+
+
 #: SQL for the queries that SQL can express; the others are tested against brute force.
 ORACLES: dict[str, str] = {
     "op6_exact_top_k": """
@@ -111,4 +144,39 @@ ORACLES: dict[str, str] = {
         )
         WHERE rank <= 5
     """,
+    "op12_fill_in_middle": """
+        WITH units AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS unit,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents
+        ), drawn AS (
+            SELECT *, CAST(len(unit) AS BIGINT) AS n,
+                   CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                   CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+            FROM units
+        ), cut AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i,
+                   greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                             OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ), parts AS (
+            SELECT doc_id, text, n, form,
+                   array_to_string(unit[1:i], '') AS prefix,
+                   array_to_string(unit[i + 1:j], '') AS middle,
+                   array_to_string(unit[j + 1:], '') AS suffix
+            FROM cut
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+               sha256(CASE form
+                   WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                   ELSE text END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }
