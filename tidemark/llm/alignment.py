@@ -27,6 +27,7 @@ import os
 import re
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.byte_words import LETTER, ByteWords, Memory, is_plain
-from tidemark.llm.rows import slices, texts_of
+from tidemark.llm.byte_words import LETTER, ByteWords, is_plain
+from tidemark.llm.rows import Memory, slices, texts_of
 from tidemark.workspace import new_folder
 
 #: Bytes of a range, and fragments composed by one step of the tree.
@@ -44,9 +45,11 @@ RANGE, FAN_IN = 1 << 16, 8
 FREQUENT = 1 << 20
 #: Distinct pairs that a task sums before it passes them on.
 SUMMED = 1 << 20
-CACHED = 200_000
+CACHED = 150_000
 
 SPACE = "▁"
+#: What a token stands behind: the start, the group before, its neighbour, the other side.
+_START, _NEXT, _MORE, _SIDE = range(4)
 
 #: Units of plain texts. Both tokenizers cut before white space and between a Latin
 #: letter and any other character, but for an apostrophe before letters.
@@ -82,6 +85,8 @@ class Fragment:
 
 def written(a: list[int], b: list[int]) -> bytes:
     """One group."""
+    if len(a) == len(b) == 1:
+        return b"%d|%d" % (a[0], b[0])
     return f"{','.join(map(str, a))}|{','.join(map(str, b))}".encode()
 
 
@@ -150,7 +155,12 @@ class Aligner:
         self.a_size[list(tokens)] = [len(x) for x in tokens.values()]
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
         self._start = self.b.encode("\n")
-        self._units = Memory(self._unit, cached)
+        self._units = Memory(self.rows, cached)
+        # Ids behind each sign, as they are written.
+        self._ids = max(len(self.a_size), size)
+        signs = (b"", b";", b",", b"|")
+        self._written = [b"%b%d" % (sign, i) for sign in signs for i in range(self._ids)]
+        self._written_size = np.fromiter(map(len, self._written), np.int64, 4 * self._ids)
 
     def _piece(self, i: int) -> bytes:
         if self.b.is_byte(i):
@@ -167,12 +177,9 @@ class Aligner:
                 raise ValueError(f"piece {i} crosses a cut: {text!r}")
 
     def tokens(self, text: str) -> tuple[Ids, Ids]:
-        """Ids of a stretch of text between certain cuts, by both tokenizers.
-
-        The second gets it behind a line feed, which is joined with nothing.
-        """
+        """Ids of a stretch of text between certain cuts, by both tokenizers."""
         a = np.frombuffer(self.a.plain(text), "<u4")
-        b = self.b.encode("\n" + text)[len(self._start) :]
+        b = self._behind([text])[0]
         if b"".join(map(self.b_bytes.__getitem__, b)) != text.encode():
             raise Broken
         if b"".join(map(self.a.tokens.__getitem__, a.tolist())) != text.encode():
@@ -182,29 +189,71 @@ class Aligner:
     def ends(self, a: Ids, b: Ids) -> tuple[np.ndarray, np.ndarray]:
         return np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
 
-    def closed(self, text: str) -> Fragment:
-        """The fragment of a stretch between certain cuts, from the first on."""
-        a, b = self.tokens(text)
-        a_ends, b_ends = self.ends(a, b)
-        return compose(START, fragment(a, a_ends, b, b_ends))
+    def rows(self, units: list[str]) -> list[tuple[bytes, bytes, int, int] | bool]:
+        """Groups, links and token counts of stretches between certain cuts; False for a broken one.
 
-    def _unit(self, text: str) -> tuple[bytes, bytes, int, int] | bool:
-        try:
-            found = self.closed(text)
-        except Broken:
-            return False
-        return found.groups, found.links, found.n_a, found.n_b
+        All are worked on at once: their tokens lie one after the other, and each is
+        written behind the sign that separates it from the one before.
+        """
+        a_lists, b_lists = [self.a.ids_of(text) for text in units], self._behind(units)
+        a_counts, b_counts = (np.fromiter(map(len, x), np.int64, len(units)) for x in (a_lists, b_lists))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a_lists, b_lists))
+        data = "".join(units).encode()
+        for ids, tokens in ((a, self.a.tokens), (b, self.b_bytes)):
+            if b"".join(map(tokens.__getitem__, ids.tolist())) != data:
+                if len(units) == 1:
+                    return [False]
+                return [row for text in units for row in self.rows([text])]
+        a_ends, b_ends = self.ends(a, b)
+        a_closes, b_closes = np.isin(a_ends, b_ends), np.isin(b_ends, a_ends)
+        # Tokens of the groups before each one's own, of the other tokenizer.
+        a_group, b_group = (np.cumsum(x) - x for x in (a_closes, b_closes))
+        n = int(a_closes.sum())
+        a_upto = np.cumsum(np.bincount(a_group, minlength=n))
+        b_before = np.cumsum(np.bincount(b_group, minlength=n)) - np.bincount(b_group, minlength=n)
+        a_first, b_first = (np.diff(x, prepend=-1) > 0 for x in (a_group, b_group))
+        a_sign = np.where(a_first, _NEXT, _MORE)
+        a_sign[np.cumsum(a_counts) - a_counts] = _START
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + b_before[a_group]] = a_sign * self._ids + a
+        codes[np.arange(len(b)) + a_upto[b_group]] = np.where(b_first, _SIDE, _MORE) * self._ids + b
+        text = b"".join(map(self._written.__getitem__, codes.tolist()))
+        ends = np.cumsum(self._written_size[codes])[np.cumsum(a_counts + b_counts) - 1].tolist()
+        links = (a[a_closes] << 32 | b[b_closes]).tobytes()
+        unit = np.repeat(np.arange(len(units)), a_counts)[a_closes]
+        to = (8 * np.cumsum(np.bincount(unit, minlength=len(units)))).tolist()
+        spans = zip([0, *ends], ends, [0, *to], to, a_counts.tolist(), b_counts.tolist())
+        return [(text[i:j], links[p:q], n_a, n_b) for i, j, p, q, n_a, n_b in spans]
+
+    def _behind(self, units: list[str]) -> list[list[int]]:
+        """The second tokenizer's ids; it gets each unit behind a line feed, joined with nothing."""
+        skipped = len(self._start)
+        found = self.b.encode(["\n" + text for text in units], num_threads=1)
+        return [ids[skipped:] for ids in found]
 
     def whole(self, text: str) -> Fragment:
-        """The fragment of a text that starts and ends at certain cuts.
+        """The fragment of a text that starts and ends at certain cuts."""
+        found = self.wholes([text])[0]
+        if found is None:
+            raise Broken
+        return found
+
+    def wholes(self, texts: list[str]) -> list[Fragment | None]:
+        """The fragments of such texts; None for a broken one.
 
         Units are closed, so their composition is their groups one after the other.
         """
-        if not is_plain(text):
-            return self.closed(text)
-        found = list(map(self._units.__getitem__, _UNITS.findall(text)))
+        parted = [_UNITS.findall(text) if is_plain(text) else None for text in texts]
+        self._units.fill(set(chain.from_iterable(units or () for units in parted)))
+        return [self._whole(text, units) for text, units in zip(texts, parted)]
+
+    def _whole(self, text: str, units: list[str] | None) -> Fragment | None:
+        if units is None:
+            found = self.rows([text])
+        else:
+            found = list(map(self._units.__getitem__, units))
         if not all(found):
-            raise Broken
+            return None
         groups, links, n_a, n_b = zip(*found)
         return Fragment(
             ([], []), b";".join(groups), b"".join(links), ([], []), sum(n_a), sum(n_b)
@@ -408,12 +457,9 @@ def align_documents(
     def short(batches):
         held = aligner(path_a, path_b)
         for part in slices(batches):
-            rows = []
-            for text in texts_of(part.column(1)):
-                try:
-                    rows.append(_result(held.whole(" " + text) if text else None, digest))
-                except Broken:
-                    rows.append(_result(None, digest))
+            texts = texts_of(part.column(1))
+            found = iter(held.wholes([" " + text for text in texts if text]))
+            rows = [_result(next(found) if text else None, digest) for text in texts]
             columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema.names)
 

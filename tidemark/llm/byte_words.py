@@ -12,10 +12,10 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Callable
 from functools import lru_cache
 
 from tidemark.llm.bpe import byte_letters, ranked
+from tidemark.llm.rows import Memory
 
 #: Pre-tokens in each of a worker's two generations.
 CACHED = 300_000
@@ -38,28 +38,6 @@ OTHER_TEXT = re.compile(
 _PLAIN_BYTES = bytes(b for b in range(128) if not OTHER_TEXT.search(chr(b)))
 
 
-class Memory(dict):
-    """What ``make`` gives for a key, remembered in two generations of bounded size.
-
-    When the young generation is full it becomes the old one; an entry of the old one
-    moves to the young when it is used, so what was used lately outlives the rest.
-    """
-
-    def __init__(self, make: Callable, most: int = CACHED):
-        super().__init__()
-        self._make, self._most, self._old = make, most, {}
-
-    def __missing__(self, key):
-        if len(self) >= self._most:
-            self._old = dict(self)
-            self.clear()
-        value = self._old.pop(key, None)
-        if value is None:
-            value = self._make(key)
-        self[key] = value
-        return value
-
-
 def is_plain(text: str) -> bool:
     """Whether the text holds only what ``OTHER_TEXT`` allows."""
     left = text.encode().translate(None, _PLAIN_BYTES)
@@ -79,11 +57,14 @@ class ByteWords:
         self._special = {s: array("I", [i]).tobytes() for s, i in special.items()}
         self._parted = re.compile("|".join(map(re.escape, special))) if special else None
         self._ranked = ranked(stated["model"], letters)
-        self._ids = Memory(self.join, cached)
+        self._ids = Memory(lambda units: map(self.join, units), cached)
 
-    def join(self, text: str) -> bytes:
+    def ids_of(self, text: str) -> list[int]:
         """Ids of a text by the library, special strings as plain text."""
-        return array("I", self._ranked.encode_ordinary(text)).tobytes()
+        return self._ranked.encode_ordinary(text)
+
+    def join(self, text: str) -> bytes:
+        return array("I", self.ids_of(text)).tobytes()
 
     def plain(self, text: str) -> bytes:
         """Ids of a text whose special strings are plain text."""

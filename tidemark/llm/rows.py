@@ -21,6 +21,52 @@ def crc_bucket(id_col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n))
 
 
+class Memory(dict):
+    """What ``make`` gives for keys, remembered in two generations of bounded size.
+
+    ``make`` turns a list of keys into their values. When the young generation is full
+    it becomes the old one; an entry of the old one moves to the young when it is
+    used, so what was used lately outlives the rest.
+    """
+
+    def __init__(self, make: Callable[[list], Iterable], most: int):
+        super().__init__()
+        self._make, self._most, self._old = make, most, {}
+
+    def __missing__(self, key):
+        self.fill({key})
+        return self[key]
+
+    def fill(self, keys: set) -> None:
+        """Make all ``keys`` known at once."""
+        unknown = keys.difference(self)
+        if len(self) + len(unknown) > self._most:
+            self._old = dict(self)
+            self.clear()
+            unknown = keys
+        new = []
+        for key in unknown:
+            value = self._old.pop(key, None)
+            if value is None:
+                new.append(key)
+            else:
+                self[key] = value
+        if new:
+            self.update(zip(new, self._make(new)))
+
+
+#: What a worker keeps from task to task: the last object made of each kind.
+_kept: dict = {}
+
+
+def kept(kind: str, key, make: Callable):
+    """The worker's object of a kind, made anew when the key is another."""
+    held = _kept.get(kind)
+    if held is None or held[0] != key:
+        held = _kept[kind] = (key, make())
+    return held[1]
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
