@@ -40,24 +40,50 @@ def model():
 
 def test_held_out_texts(model):
     rng, scorer = random.Random(6), toxicity.Scorer(model)
-    clean = [scorer.score(_text(rng, n=rng.choice((5, 60, 900)))) for _ in range(200)]
-    bad = [scorer.score(_toxic(rng, BAD[:5], n=rng.choice((5, 60, 900)))) for _ in range(200)]
+    clean = scorer.scores([_text(rng, n=rng.choice((5, 60, 900))) for _ in range(200)])
+    bad = scorer.scores([_toxic(rng, BAD[:5], n=rng.choice((5, 60, 900))) for _ in range(200)])
     errors = sum(s >= 0.5 for s in clean) + sum(s < 0.5 for s in bad)
     assert errors <= 0.05 * 400
-    unseen = [scorer.score(_toxic(rng, ["grolly", "snarfly", "grollled"])) for _ in range(50)]
+    unseen = scorer.scores([_toxic(rng, ["grolly", "snarfly", "grollled"]) for _ in range(50)])
     assert sum(s >= 0.5 for s in unseen) >= 40
 
 
 def test_one_class_or_none():
-    assert toxicity.Scorer(toxicity.train([], [])).score("x") < 0.5
-    assert toxicity.Scorer(toxicity.train(["a b"], [1])).score("") > 0.5
+    assert toxicity.Scorer(toxicity.train([], [])).scores(["x"])[0] < 0.5
+    assert toxicity.Scorer(toxicity.train(["a b"], [1])).scores([""])[0] > 0.5
+
+
+def _brute_score(model, text):
+    """The worst passage's mean over words of the mean weight of their n-grams."""
+    words = toxicity.words_of(text)
+    means = []
+    for word in words:
+        marked = b"<" + word + b">"
+        grams = [marked] + [
+            marked[i : i + k] for k in range(3, 7) for i in range(len(marked) - k + 1)
+        ]
+        means.append(sum(float(model.weights[zlib.crc32(g) % toxicity.BUCKETS]) for g in grams) / len(grams))
+    count = max(1, len(words) // toxicity.PASSAGE)
+    starts = [i * len(words) // count for i in range(count)] + [len(words)]
+    passages = [means[i:j] for i, j in zip(starts, starts[1:])]
+    worst = max((sum(p) / len(p) for p in passages if p), default=0.0)
+    return 1 / (1 + math.exp(-(model.bias + worst)))
+
+
+def test_scores_are_those_of_the_formula(model):
+    rng = random.Random(11)
+    texts = [_toxic(rng, BAD, n=rng.randint(1, 80)) for _ in range(60)] + ["", "a", "é 漢字の x", "<>"]
+    scorer = toxicity.Scorer(model, cached=20)
+    for _ in range(2):  # known and forgotten words alike
+        for text, score in zip(texts, scorer.scores(texts)):
+            assert abs(score - _brute_score(model, text)) < 1e-6
 
 
 def test_every_ngram_of_long_runs_is_read():
     rng = random.Random(9)
     for n in (41, 45, 46, 60, 61, 64, 65, 66, 300, 1_001):
         run = "".join(rng.choices("abcdefghij漢字の", k=n))
-        read = {b for word in toxicity.words_of(run) for b in toxicity.subwords(word)}
+        read = set(toxicity.subwords(toxicity.words_of(run))[0].tolist())
         raw = run.encode()
         grams = (raw[i : i + k] for k in range(3, 7) for i in range(len(raw) - k + 1))
         assert all(zlib.crc32(gram) % toxicity.BUCKETS in read for gram in grams)
@@ -79,7 +105,11 @@ def test_toxic_words_in_text_without_spaces():
 
     labels = [int(i % 3 == 0) for i in range(1_200)]
     scorer = toxicity.Scorer(toxicity.train([text(label) for label in labels], labels))
-    wrong = sum((scorer.score(text(label)) >= 0.5) != label for label in (0, 1) for _ in range(100))
+    wrong = sum(
+        (score >= 0.5) != label
+        for label in (0, 1)
+        for score in scorer.scores([text(label) for _ in range(100)])
+    )
     assert wrong <= 0.05 * 200
 
 
@@ -156,6 +186,25 @@ def test_languages(spark):
     assert langid.drop_unidentified(documents(spark, [(1, "12.34", "aa", "s", 1), (2, None, None, None, 1)]), model).count() == 0
 
 
+def test_letters_are_those_of_unicode():
+    for text in ("12 ½ ² !!", "Ⅷ ①", "_", "", "١٢"):
+        assert not langid.has_letter(text)
+    for text in ("a", "1 é", "漢", "ª"):
+        assert langid.has_letter(text)
+
+
+def test_sample_of_many_rows_in_one_language(spark):
+    rows = [(i, f"text {i}", "aa" if i % 50 else "bb", "s", 1) for i in range(4_000)]
+    rows += [(None, "same", "aa", "s", 1)] * 500
+    docs = documents(spark, rows)
+    sample = langid.training_sample(docs, rows=20).collect()
+    assert Counter(r.lang for r in sample) == {"aa": 20, "bb": 20}
+    assert len(set(sample)) == 40
+    assert sorted(langid.training_sample(docs.repartition(7), rows=20).collect()) == sorted(sample)
+    few = langid.training_sample(docs.limit(0).union(documents(spark, rows[:60])), rows=100).collect()
+    assert Counter(r.lang for r in few) == {"aa": 58, "bb": 2}
+
+
 def test_no_language_to_learn(spark):
     model = langid.fit(documents(spark, []))
     assert [r.lang_pred for r in langid.identify(documents(spark), model).collect()] == ["und"] * len(HARD)

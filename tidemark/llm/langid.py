@@ -16,7 +16,7 @@ code lengths by run of bytes, and a worker caches words.
 from __future__ import annotations
 
 import math
-import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -25,13 +25,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import map_texts, slices, texts_of
+from tidemark.llm.rows import kept, map_texts, slices, texts_of
 
 ORDER = 4
 #: Bounds of the training sample: rows per language, and bytes of a text.
 SAMPLE_ROWS = 600
 SAMPLE_BYTES = 8_000
-SAMPLE_PARTS = 64
+#: Most languages that are learned, those of the most rows; bounds the table of code lengths.
+LANGUAGES = 200
+#: Rows of a language that a hash leaves to rank, as a multiple of ``SAMPLE_ROWS``.
+SPARE = 4
 CACHED = 150_000
 UNKNOWN = "und"
 #: A text whose shortest code is longer than this, in bits per byte, is in no learned language.
@@ -41,7 +44,11 @@ MOST_BITS = 6.0
 _TO_WORDS = bytes(
     b if b >= 128 or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256)
 )
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is of a Unicode category of letters."""
+    return any(map(str.isalpha, text))
 
 
 def words_of(text: str) -> list[bytes]:
@@ -187,7 +194,7 @@ class Scorer:
 
         Equal code lengths go to the language first in order.
         """
-        if not self.model.languages or not _LETTER.search(text):
+        if not self.model.languages or not has_letter(text):
             return UNKNOWN, 0.0, 8.0
         bits, n = self.bits(text)
         best = int(bits.argmin())
@@ -195,35 +202,45 @@ class Scorer:
         return self.model.languages[best], share, float(bits[best]) / max(1, n)
 
 
-def fit(docs: DataFrame, trainable: Column | None = None, rows: int = SAMPLE_ROWS) -> Model:
-    """Statistics of a sample of at most ``rows`` texts of each language.
+def training_sample(
+    docs: DataFrame, trainable: Column | None = None, rows: int = SAMPLE_ROWS
+) -> DataFrame:
+    """lang and text of at most ``rows`` texts of each of at most ``LANGUAGES`` languages.
 
-    Rows are chosen by a hash of their id among those of at most ``SAMPLE_BYTES``
+    Rows are chosen by a hash of id and text among those of at most ``SAMPLE_BYTES``
     bytes; a language needs one such row to be learned. Rows without language, or
-    without text, are left out. A language's rows are first ranked in parts, so that
-    a bounded number of them meets in one task.
+    without text, are left out, and of rows that repeat one counts. Only rows whose
+    hash is below the share of the language's rows that is wanted, with some to spare,
+    are ranked, so no language's rows meet in one task.
     """
     known = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang")
     if trainable is not None:
         known = known.where(trainable)
     known = known.where(
         F.col("lang").isNotNull() & (F.octet_length("text").between(1, SAMPLE_BYTES))
-    )
-    place = F.xxhash64("doc_id")
-    part = F.pmod("place", F.lit(SAMPLE_PARTS))
-    some = Window.partitionBy("lang", "part").orderBy("place", "doc_id")
-    first = Window.partitionBy("lang").orderBy("place", "doc_id")
-    chosen = (
-        known.select("doc_id", "lang", place.alias("place"))
-        .withColumn("part", part)
-        .withColumn("n", F.row_number().over(some))
-        .where(F.col("n") <= rows)
+    ).select("lang", "text", F.xxhash64("doc_id", "text").alias("place"))
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    span = 1 << 63
+    below = [
+        (row["lang"], min(span - 1, int(-span + 2 * span * SPARE * rows / row["count"])))
+        for row in counts.collect()
+    ]
+    spark = docs.sparkSession
+    kind = docs.schema["lang"].dataType.simpleString()
+    wanted = spark.createDataFrame(below, f"lang {kind}, below long")
+    few = known.join(F.broadcast(wanted), "lang").where("place <= below")
+    first = Window.partitionBy("lang").orderBy("place")
+    return (
+        few.dropDuplicates(["lang", "place"])
         .withColumn("n", F.row_number().over(first))
         .where(F.col("n") <= rows)
-        .select("doc_id", F.col("lang").alias("chosen_lang"))
-        .distinct()
+        .select("lang", "text")
     )
-    sample = known.join(chosen, "doc_id").where("lang = chosen_lang").select("lang", "text")
+
+
+def fit(docs: DataFrame, trainable: Column | None = None, rows: int = SAMPLE_ROWS) -> Model:
+    """Statistics of ``training_sample``."""
+    sample = training_sample(docs, trainable, rows)
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
         words: Counter = Counter()
@@ -253,6 +270,13 @@ def fit(docs: DataFrame, trainable: Column | None = None, rows: int = SAMPLE_ROW
     return build(counted)
 
 
+def _scorer(shared) -> Scorer:
+    """The worker's scorer of a broadcast model, kept from task to task."""
+    model = shared.value
+    key = (tuple(model.languages), len(model.runs), zlib.crc32(model.bits.tobytes()))
+    return kept("langid", key, lambda: Scorer(model))
+
+
 def identify(
     docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -265,7 +289,7 @@ def identify(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
-        scorer = Scorer(shared.value)
+        scorer = _scorer(shared)
 
         def work(texts):
             return list(zip(*map(scorer.predict, texts))) or [[], [], []]
@@ -282,7 +306,7 @@ def drop_unidentified(docs: DataFrame, model: Model, text_col: str = "text") ->
 
     Rows whose prediction is ``und`` go, and those whose shortest code is longer
     than ``MOST_BITS`` bits per byte. Where nothing was learned, all rows stay that
-    have a letter.
+    have a letter. Repeated rows stay or go together; no rows give no rows.
     """
     import pyarrow as pa
 
@@ -291,12 +315,12 @@ def drop_unidentified(docs: DataFrame, model: Model, text_col: str = "text") ->
 
     def stays(scorer: Scorer, text: str) -> bool:
         if not scorer.model.languages:
-            return bool(_LETTER.search(text))
+            return has_letter(text)
         language, _, bits = scorer.predict(text)
         return language != UNKNOWN and bits <= MOST_BITS
 
     def run(batches):
-        scorer = Scorer(shared.value)
+        scorer = _scorer(shared)
         for part in slices(batches):
             kept = [stays(scorer, text) for text in texts_of(part.column(at))]
             yield part.filter(pa.array(kept, pa.bool_()))

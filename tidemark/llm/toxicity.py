@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import map_texts, slices, texts_of
+from tidemark.llm.rows import Memory, kept, map_texts, slices, texts_of
 
 BUCKETS = 1 << 18
 DIMENSIONS = 8
@@ -82,14 +82,38 @@ def words_of(text: str) -> list[bytes]:
     return words
 
 
-def subwords(word: bytes) -> list[int]:
-    """Buckets of a word and of its n-grams of bytes, with its ends marked."""
-    crc = zlib.crc32
-    marked = b"<" + word + b">"
-    found = {crc(marked)}
-    for size in range(SHORTEST, min(LONGEST, len(marked)) + 1):
-        found.update(crc(marked[i : i + size]) for i in range(len(marked) - size + 1))
-    return [x % BUCKETS for x in found]
+def _crc_table() -> np.ndarray:
+    """The table of the common 32-bit checksum, from its polynomial."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of words and of their n-grams of bytes, ends marked, and whose each is.
+
+    Buckets are checksums. One pass over the bytes of all words carries the checksums
+    of the n-grams that start at each byte from size to size.
+    """
+    marked = [b"<" + word + b">" for word in words]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    owner = np.repeat(np.arange(len(marked)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(owner))
+    codes = np.frombuffer(b"".join(marked) + bytes(LONGEST), np.uint8)
+    crc = np.full(len(owner), 0xFFFFFFFF, np.uint32)
+    buckets = [np.fromiter(map(zlib.crc32, marked), np.int64, len(marked)) % BUCKETS]
+    owners = [np.arange(len(marked))]
+    for i in range(LONGEST):
+        crc = _CRC[(crc ^ codes[i : i + len(owner)]) & 0xFF] ^ (crc >> 8)
+        if i + 1 >= SHORTEST:
+            inside = left > i
+            buckets.append((~crc[inside]).astype(np.int64) % BUCKETS)
+            owners.append(owner[inside])
+    return np.concatenate(buckets), np.concatenate(owners)
 
 
 def passages(n_words: int) -> np.ndarray:
@@ -110,36 +134,42 @@ class Scorer:
     """Scores texts; remembers the weights of words."""
 
     def __init__(self, model: Model, cached: int = CACHED):
-        self._model, self._cached, self._known = model, cached, {}
+        self._model, self._known = model, Memory(self._weights, cached)
 
-    def _learn(self, words: set[bytes]) -> None:
-        new = words.difference(self._known)
-        if len(self._known) + len(new) > self._cached:
-            self._known.clear()
-            new = words
-        weights = self._model.weights
-        for word in new:
-            self._known[word] = float(weights[subwords(word)].mean())
+    def _weights(self, words: list[bytes]) -> list[float]:
+        """The mean weight of each word's n-grams."""
+        buckets, owners = subwords(words)
+        sums = np.bincount(owners, self._model.weights[buckets], len(words))
+        return (sums / np.bincount(owners, minlength=len(words))).tolist()
 
     def margin(self, text: str) -> float:
-        """Log odds of the worst passage."""
-        words = words_of(text)
-        n = len(words)
-        margin = self._model.bias
+        return self.margins([text])[0]
+
+    def margins(self, texts: list[str]) -> list[float]:
+        """Log odds of the worst passage of each text."""
+        parted = [words_of(text) for text in texts]
+        self._known.fill(set(chain.from_iterable(parted)))
+        return [self._worst(words) for words in parted]
+
+    def _worst(self, words: list[bytes]) -> float:
+        n, margin = len(words), self._model.bias
         if n:
-            try:
-                weights = np.fromiter(map(self._known.__getitem__, words), np.float64, n)
-            except KeyError:
-                self._learn(set(words))
-                weights = np.fromiter(map(self._known.__getitem__, words), np.float64, n)
+            weights = np.fromiter(map(self._known.__getitem__, words), np.float64, n)
             starts = passages(n)
             sizes = np.diff(starts, append=n)
             margin += float((np.add.reduceat(weights, starts) / sizes).max())
         return margin
 
-    def score(self, text: str) -> float:
-        margin = self.margin(text)
-        return float(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
+    def scores(self, texts: list[str]) -> list[float]:
+        margins = np.clip(self.margins(texts), -30, 30)
+        return (1 / (1 + np.exp(-margins))).tolist()
+
+
+def _scorer(shared) -> Scorer:
+    """The worker's scorer of a broadcast model, kept from task to task."""
+    model = shared.value
+    key = (zlib.crc32(model.weights.tobytes()), model.bias)
+    return kept("toxicity", key, lambda: Scorer(model))
 
 
 class _Training:
@@ -155,18 +185,18 @@ class _Training:
         number: dict[bytes, int] = {}
         coded = [np.array([number.setdefault(w, len(number)) for w in t], np.int64) for t in texts]
         self.labels = labels
-        grams = [subwords(word) for word in number]
-        sizes = np.array([len(x) for x in grams])
-        flat = np.fromiter(chain.from_iterable(grams), np.int64, sizes.sum())
+        flat, owners = subwords(list(number))
+        order = np.argsort(owners, kind="stable")
+        flat, sizes = flat[order], np.bincount(owners, minlength=len(number))
+        grams = np.split(flat, np.cumsum(sizes)[:-1])
         self.gram_starts = np.cumsum([0, *sizes[:-1]])
         self.buckets, self.flat = np.unique(flat, return_inverse=True)
-        self.word_of_gram = np.repeat(np.arange(len(grams)), sizes)
+        self.word_of_gram = np.repeat(np.arange(len(sizes)), sizes)
         self.scale = 1.0 / sizes
         # A bucket must occur in some texts of the sample to be worth a vector.
         seen = np.zeros(BUCKETS, np.int64)
         for words in coded:
-            mine = set(chain.from_iterable(grams[w] for w in np.unique(words).tolist()))
-            seen[list(mine)] += 1
+            seen[np.unique(np.concatenate([grams[w] for w in np.unique(words)]))] += 1
         self.active = seen[self.buckets] >= max(2, min(8, len(texts) // 150))
         self.vectors = rng.normal(0, 0.01, (len(self.buckets), DIMENSIONS)) * self.active[:, None]
         self.softmax = rng.normal(0, 0.5, (DIMENSIONS, 2))
@@ -241,7 +271,7 @@ class _Training:
 def settle(model: Model, texts: list[str], labels: list[int]) -> Model:
     """``model`` with the bias that errs least on these texts, in the middle of that range."""
     scorer = Scorer(model)
-    worst = np.array([scorer.margin(text) for text in texts])
+    worst = np.array(scorer.margins(texts))
     order = np.argsort(worst)
     worst, toxic = worst[order], np.array(labels)[order] == 1
     errors = np.concatenate([[0], np.cumsum(toxic)]) + np.concatenate(
@@ -338,10 +368,10 @@ def score_documents(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
-        scorer = Scorer(shared.value)
+        scorer = _scorer(shared)
 
         def work(texts):
-            scores = [scorer.score(text) for text in texts]
+            scores = scorer.scores(texts)
             yield scores
             yield [int(score >= 0.5) for score in scores]
 
@@ -351,14 +381,18 @@ def score_documents(
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    """The rows of ``docs`` that are not predicted toxic, with all their columns.
+
+    Null and empty texts score as the bias alone; repeated rows stay or go together;
+    no rows give no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
     def run(batches):
-        scorer = Scorer(shared.value)
+        scorer = _scorer(shared)
         for part in slices(batches):
-            clean = [scorer.score(text) < 0.5 for text in texts_of(part.column(at))]
+            clean = [score < 0.5 for score in scorer.scores(texts_of(part.column(at)))]
             yield part.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
