@@ -19,10 +19,11 @@ from collections import Counter
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import map_texts
+from tidemark.llm.rows import map_texts, slices
 
 #: Rows read to choose the frequent pre-tokens. They decide speed only, never a count.
 SAMPLE_ROWS = 3_000
@@ -101,24 +102,40 @@ class Lengths:
 def frequent_pre_tokens(
     docs: DataFrame,
     model_path: str,
+    id_col: str = "doc_id",
     text_col: str = "text",
     sample_rows: int = SAMPLE_ROWS,
     limit: int = FREQUENT,
 ) -> tuple[str, bytes]:
     """The most frequent pre-tokens of a sample and their lengths, in compact form.
 
-    The sample is the first rows found of at most ``SAMPLE_BYTES`` bytes: reading
-    stops there, so it costs the same at any size of the table. Entries are joined by
-    null characters; lengths are 16-bit numbers.
+    The sample is about ``sample_rows`` rows of at most ``SAMPLE_BYTES`` bytes, those
+    whose hash of id and text is least, from all over the table. Each task counts its
+    own and passes on the ``limit`` most frequent; only the first ``limit`` of all come
+    to the driver. Entries are joined by null characters; lengths are 16-bit numbers.
     """
     text = F.col(text_col).cast("string").alias("text")
-    sample = docs.select(text).where(F.octet_length("text").between(1, SAMPLE_BYTES))
-    seen = Counter()
-    for row in sample.take(sample_rows):
-        seen.update(pre_tokens(row.text))
-    model = load(model_path)
-    units = [u for u, _ in seen.most_common(limit) if len(u) < 64 and "\0" not in u]
-    return "\0".join(units), np.array(lengths_of(model, units), "<u2").tobytes()
+    spread = max(1, docs.count() // sample_rows)
+    chosen = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(spread)) == 0
+    sample = docs.where(chosen).select(text).where(
+        F.octet_length("text").between(1, SAMPLE_BYTES)
+    )
+
+    def count(batches):
+        seen = Counter()
+        for part in slices(batches):
+            for one in part.column(0).to_pylist():
+                seen.update(u for u in pre_tokens(one) if len(u) < 64 and "\0" not in u)
+        most = seen.most_common(limit)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([u for u, _ in most], pa.string()), pa.array([n for _, n in most], pa.int64())],
+            ["unit", "n"],
+        )
+
+    counted = sample.mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    top = counted.orderBy(F.desc("n"), "unit").limit(limit).select("unit")
+    units = [row.unit for row in top.collect()]
+    return "\0".join(units), np.array(lengths_of(load(model_path), units), "<u2").tobytes()
 
 
 def count_tokens(
@@ -134,7 +151,7 @@ def count_tokens(
     No rows give no rows.
     """
     table = docs.sparkSession.sparkContext.broadcast(
-        frequent_pre_tokens(docs, model_path, text_col)
+        frequent_pre_tokens(docs, model_path, id_col, text_col)
     )
 
     def start():
