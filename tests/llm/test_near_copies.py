@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import minhash
 from tidemark.llm.components import components
@@ -101,6 +102,35 @@ def test_hard_rows(spark):
     assert minhash.drop_near_duplicates(empty).count() == 0
 
 
+def test_each_text_of_an_id_is_dropped_on_its_own(spark):
+    rng = random.Random(3)
+    one, other = (" ".join("".join(rng.choices("abcd", k=5)) for _ in range(60)) for _ in range(2))
+    rows = [(1, one), (2, one), (2, other), (2, other), (None, one), (3, None), (3, None)]
+    docs = documents(spark, [(i, t, "x", "s", 1) for i, t in rows]).withColumn("a.b", F.lit(1))
+    kept = minhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id or 0, r.text or "") for r in kept.collect()))
+    assert found == sorted([(1, one), (2, other), (0, one), (3, "")])
+
+
+def test_texts_of_one_template_do_not_all_pair(spark, monkeypatch):
+    """Many texts share three quarters of their shingles: no links, and few rows of pairs."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    shared = [word() for _ in range(150)]
+    rows = [(i, " ".join([*shared, *(word() for _ in range(25))])) for i in range(150)]
+    counted, plain = [], minhash.likely
+
+    def likely(pairs, *rest):
+        counted.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "likely", likely)
+    docs = documents(spark, [(i, t, "x", "s", 1) for i, t in rows])
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 2).collect()}
+    assert found == _brute(rows, 2)[0] and sum(counted) < 40 * len(rows)
+
+
 def test_components_of_links(spark):
     rng = random.Random(4)
     for n, links in ((40, 30), (60, 59)):

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,7 +42,7 @@ HASHES = 128
 BATCH = 16
 #: A pair is dropped if its similarity reaches the threshold with less probability than this.
 MISS = 0.0005
-#: Classes of one component in one band from which on outsiders meet them in blocks.
+#: Classes of one band from which on those of several components meet in blocks.
 CROWD = 16
 #: Classes on each side of a block.
 BLOCK = 256
@@ -128,14 +128,20 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(folder)
 
 
+def text_key(text: Column) -> Column:
+    """Tells the texts of rows that repeat an id apart."""
+    return F.xxhash64(text).alias("text_key")
+
+
 def sign(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, set_key (of the whole set) and signature of each row.
+    """doc_id, text_key, n_shingles, set_key (of the whole set) and signature of each row.
 
     Without a word, key and signature are null.
     """
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema[id_col].dataType),
+            T.StructField("text_key", T.LongType()),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("set_key", T.BinaryType()),
             T.StructField("signature", T.BinaryType()),
@@ -150,6 +156,7 @@ def sign(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
+                    part.column(2),
                     pa.array([len(x) for x in found], pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array(signed, pa.binary()),
@@ -157,7 +164,8 @@ def sign(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "te
                 schema.names,
             )
 
-    read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    read = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), text_key(text))
     return read.mapInArrow(run, schema)
 
 
@@ -276,17 +284,19 @@ def star_pairs(bands: DataFrame) -> DataFrame:
 def open_bands(bands: DataFrame, found: DataFrame) -> DataFrame:
     """(band, class_id, component_id, largest, n) of bands that hold several components.
 
-    ``n`` counts the classes of the largest one in the band.
+    ``n`` counts the classes of the band; ``largest`` is its component of most classes.
     """
     placed = bands.join(
         found.withColumnRenamed("id", "class_id"), "class_id", "left"
     ).withColumn("component_id", F.coalesce("component_id", "class_id"))
     held = placed.groupBy("band", "component_id").agg(F.count("*").alias("n"))
     largest = held.groupBy("band").agg(
-        F.max(F.struct("n", "component_id")).alias("first"), F.count("*").alias("held")
+        F.max(F.struct("n", "component_id")).alias("first"),
+        F.count("*").alias("held"),
+        F.sum("n").alias("n"),
     )
     several = largest.where("held > 1").select(
-        "band", F.col("first.component_id").alias("largest"), F.col("first.n").alias("n")
+        "band", F.col("first.component_id").alias("largest"), "n"
     )
     return placed.join(several, "band")
 
@@ -400,11 +410,17 @@ def near_duplicates(
     (null or empty text) is linked with nothing. A row without id stands alone: its
     component is null and it is kept. Rows that repeat an id and a text give equal
     rows; with other texts under one id, each text is linked on its own. No rows give
-    no rows.
+    no rows. Ids are whole numbers.
     """
+    return _placed(docs, size, percent, id_col, text_col).drop("text_key")
+
+
+def _placed(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """:func:`near_duplicates` with the key of each row's text."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = _stored(sign(docs, size), "signatures")
-    named = signed.where("set_key is not null and doc_id is not null")
+    classed = F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()
+    named = signed.where(classed)
     classes = named.groupBy("set_key").agg(
         F.min("doc_id").alias("class_id"), F.first("signature").alias("signature")
     )
@@ -433,8 +449,11 @@ def near_duplicates(
     placed = classes.join(found.withColumnRenamed("id", "class_id"), "class_id", "left").select(
         "set_key", F.coalesce("component_id", "class_id").alias("component_id")
     )
-    joined = signed.join(placed, "set_key", "left").select(
+    # Rows without a class are many alike (null keys); they are not joined.
+    joined = signed.where(classed).join(placed, "set_key", "left")
+    joined = joined.unionByName(signed.where(~classed), allowMissingColumns=True).select(
         "doc_id",
+        "text_key",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias(
             "component_id"
@@ -448,14 +467,24 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One document of each group of near duplicates, with all columns of ``docs``.
 
-    Rows without id all stay; of rows that repeat an id, one stays.
+    Rows without id all stay; of rows that repeat an id and a text, one stays. Where
+    an id has several texts, each stays or goes on its own.
     """
-    found = _stored(near_duplicates(docs, size, percent, id_col, text_col), "groups")
-    dropped = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    found = _stored(_placed(docs, size, percent, id_col, text_col), "groups")
+    dropped = found.where("not kept").select(
+        F.col("doc_id").alias("_dropped_id"), F.col("text_key").alias("_dropped_key")
+    )
+    key = text_key(F.col(f"`{text_col}`").cast("string"))
+    same = (F.col(f"`{id_col}`") == F.col("_dropped_id")) & (key == F.col("_dropped_key"))
+    left = docs.join(dropped.distinct(), same, "left_anti")
     named = found.where("doc_id is not null")
-    counts = named.agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids")).first()
-    left = docs.join(dropped, id_col, "left_anti").select(docs.columns)
-    if counts.n == counts.ids:
+    rows = named.agg(F.count("*").alias("n"), F.countDistinct("doc_id", "text_key").alias("texts"))
+    counts = rows.first()
+    if counts.n == counts.texts:
         return left
-    unnamed = left.where(F.col(id_col).isNull())
-    return left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).union(unnamed)
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    whole = F.struct(*columns).alias("row")
+    identity = F.col(f"`{id_col}`").alias("id")
+    one = left.where(identity.isNotNull()).select(identity, key, whole)
+    one = one.dropDuplicates(["id", "text_key"]).select("row.*")
+    return one.union(left.where(identity.isNull()).select(*columns))
