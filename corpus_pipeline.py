@@ -13,14 +13,22 @@ from tidemark.llm import langid, minhash, packing, pii, toxicity
 from tidemark.workspace import new_folder
 
 
+#: The session's setting that holds the key of surrogates.
+PII_KEY = "spark.tidemark.pii.key"
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows not predicted toxic, by a classifier of the labelled ones."""
+    """Rows not predicted toxic, by a classifier of the labelled ones. Null and empty texts
+    score as the bias alone; repeated rows go together; no rows give no rows.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, toxicity.fit(docs, labels))
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows in one of the languages that the table names."""
+    """Rows in one of the languages that the table names. Texts that are
+    null or have no letter go; repeated rows go together; no rows give no rows.
+    """
     return langid.drop_unidentified(docs, langid.fit(docs))
 
 
@@ -31,11 +39,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with surrogates in place of personal data."""
-    return pii.pseudonymise(docs)
+    return pii.pseudonymise(docs, spark.conf.get(PII_KEY, "no key is set"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every row with its sequence and offset."""
+    """Every piece of every row with its sequence and offset. Null and empty texts
+    are one piece of one id; repeated rows are packed each; no rows give no rows.
+    """
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

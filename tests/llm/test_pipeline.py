@@ -58,21 +58,23 @@ def test_empty_tables(spark, tmp_path):
 
 def test_every_operator_is_a_query():
     found = [name for name in contract.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in found) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in found) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
-def test_the_search_matches_sql(spark):
+@pytest.mark.parametrize("name", ["op6_exact_top_k", "op12_fill_in_middle"])
+def test_queries_match_their_sql(spark, name):
     from tidemark.llm import queries
 
     db = duckdb.connect()
-    db.execute(f"create view embeddings as select * from '{SF_DIR}/embeddings.parquet'")
-    want = db.execute(queries.ORACLES["op6_exact_top_k"]).fetchall()
-    rows = queries.QUERIES["op6_exact_top_k"](spark, SF_DIR).collect()
+    for table in ("embeddings", "documents"):
+        db.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
+    want = db.execute(queries.ORACLES[name]).fetchall()
+    rows = queries.QUERIES[name](spark, SF_DIR).collect()
     assert sorted(map(tuple, rows)) == sorted(want)
 
 
-@pytest.mark.parametrize("name", ["op1_license_scan", "op3_toxicity", "op7_language_id"])
+@pytest.mark.parametrize("name", ["op1_license_scan", "op3_toxicity", "op7_language_id", "op13_tokenizer_alignment"])
 def test_one_row_per_document(spark, name):
     from tidemark.llm import queries
 

@@ -41,23 +41,28 @@ SYLLABLES = {
 
 _TITLES = "|".join(sorted(MALE_TITLES + FEMALE_TITLES, key=len, reverse=True))
 _LOCAL = r"\p{L}\p{N}._%+-"
+#: A capital word, also of parts that are joined, each with a capital.
+_NAME = r"(?!\p{Lu}(?![\p{L}'’-]))\p{Lu}\p{L}*+(?:['’-]\p{Lu}\p{L}*+)*+"
+#: Such a word, or an initial before another one.
+_NAMES = rf"(?:{_NAME}|\p{{Lu}}\.(?= \p{{Lu}}))"
 #: Kinds in the order in which they are tried. Every pattern is linear: a run is
 #: entered at its start only, or all its repetitions are bounded.
 PATTERNS = {
-    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]++@[\p{{L}}0-9-]++(?:\.[\p{{L}}0-9-]++)+",
     "key": r"(?<![0-9A-Za-z])(?:AKIA|ASIA)[A-Z0-9]{16}(?![0-9A-Za-z])",
-    "password": r"(?i:password|passwd|pwd)[\"']? ?[=:] ?[\"']?[^\s\"',;|]{4,200}+",
-    "hex": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])",
+    "password": r"(?i:password|passwd|pwd)[\"']? ?[=:] ?[\"']?[^\s\"',;|]{4,}+",
+    "hex": r"(?<![0-9A-Za-z])[0-9a-f]{32,}+(?![0-9A-Za-z])",
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "phone": r"\+\d{1,3}[ -]?\(?\d{1,4}\)?(?:[ -]?\d{2,4}){2,4}(?!\d)"
-    r"|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
+    r"|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"
+    r"|(?<![\d.])\d{3}\.\d{3}\.\d{4}(?!\.?\d)|(?<![\d.,/-])0\d{2,4}[/-]\d{5,8}(?![\d/-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "card": r"(?<![\d-])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}(?![\d-])",
-    "name": rf"(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}\p{{L}}++(?: \p{{Lu}}\p{{L}}++)?",
+    "name": rf"(?<!\p{{L}})(?:{_TITLES})\.? {_NAMES}(?: {_NAMES})*+",
 }
 ENTITY = "|".join(PATTERNS.values())
 _SECRET_PREFIX = r"^(?i:password|passwd|pwd)[\"']? ?[=:] ?[\"']?"
-DEFAULT_KEY = "tidemark"
 #: Draws in an entity's own format; each later one is a character longer than the one before.
 OWN_FORMAT = 8
 
@@ -72,7 +77,7 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
 def suspicious(text: Column) -> Column:
     """Whether a text can hold an entity at all."""
     titles = [text.contains(title) for title in MALE_TITLES + FEMALE_TITLES]
-    return F.coalesce(reduce(Column.__or__, [text.rlike("[0-9@]|(?i:password|passwd|pwd)"), *titles]), F.lit(False))
+    return F.coalesce(reduce(Column.__or__, [text.rlike("[0-9@]|AKIA|ASIA|(?i:password|passwd|pwd)|[0-9a-f]{32}"), *titles]), F.lit(False))
 
 
 def entities(text: Column) -> Column:
@@ -101,6 +106,7 @@ def canonical(kind: Column, entity: Column) -> Column:
     return (
         F.when(kind == "email", F.lower(entity))
         .when(kind.isin("phone", "ssn", "card"), digits)
+        .when(kind == "iban", F.regexp_replace(entity, " ", ""))
         .when(kind == "password", F.regexp_replace(entity, _SECRET_PREFIX, ""))
         .when(
             kind == "name",
@@ -119,7 +125,7 @@ def first_name(entity: Column) -> Column:
     """The form of a name's first name, "script gender family first"; null if it has none."""
     words = F.split(F.lower(entity), " ")
     gender = F.when(_female(entity), "f").otherwise("m")
-    form = F.concat_ws(" ", script_of(entity), gender, F.get(words, F.lit(2)), F.get(words, F.lit(1)))
+    form = F.concat_ws(" ", script_of(entity), gender, F.element_at(words, -1), F.get(words, F.lit(1)))
     return F.when(F.size(words) > 2, form)
 
 
@@ -192,6 +198,7 @@ def draw(kind: Column, form: Column, key: str, attempt: int) -> Column:
             F.concat(F.left(form, F.lit(2)), _filled(F.substring(form, 3, 100), noise), digits),
         )
         .when(kind == "card", F.concat(F.left(form, F.lit(1)), _filled(F.substring(form, 2, 100), noise), digits))
+        .when(kind == "iban", F.concat(F.left(form, F.lit(2)), _filled(F.substring(form, 3, 100), noise), digits))
         .when(kind == "ip", F.concat(F.concat_ws(".", *[x.cast("string") for x in octets]), digits))
         .when((kind == "name") & (script == "cyrillic"), family("cyrillic"))
         .when(kind == "name", family("latin"))
@@ -250,13 +257,14 @@ def written(kind: Column, entity: Column, surrogate: Column, first_surrogate: Co
     return (
         F.when(kind.isin("phone", "ssn", "card"), _poured(entity, surrogate))
         .when(kind == "password", F.concat(F.regexp_extract(entity, _SECRET_PREFIX, 0), surrogate))
+        .when((kind == "iban") & entity.contains(" "), F.regexp_replace(surrogate, "(.{4})(?=.)", "$1 "))
         .when((kind == "email") & (entity == F.upper(entity)), F.upper(surrogate))
         .when(kind == "name", name)
         .otherwise(surrogate)
     )
 
 
-def replacements(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text") -> DataFrame:
+def replacements(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """(text_key, replaced): for each text with entities, what each of them becomes."""
     text = F.col(text_col).cast("string")
     found = (
@@ -301,11 +309,12 @@ def _rewritten(text: Column, replaced: Column) -> Column:
 
 
 def pseudonymise(
-    docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text", report: bool = False
+    docs: DataFrame, key: str, text_col: str = "text", report: bool = False
 ) -> DataFrame:
     """``docs`` with the personal data of ``text_col`` replaced by surrogates.
 
-    ``report`` adds n_entities (places) and kinds (sorted, comma-joined). Null, empty
+    ``key`` makes the surrogates: without it, who knows the method could draw those of
+    guessed data. ``report`` adds n_entities (places) and kinds (sorted, comma-joined). Null, empty
     and other texts without entities stay as they are; repeated rows are rewritten
     alike; other columns are passed on whatever their names, but for the two of the
     report. No rows give no rows.

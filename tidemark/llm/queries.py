@@ -65,7 +65,7 @@ def op4_token_counts(spark, sf_dir):
 @query
 def op5_pii_surrogates(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, report=True)
+    return pii.pseudonymise(docs, "key of the registered query", report=True)
 
 
 @query
