@@ -7,7 +7,7 @@ import pytest
 
 from tidemark import contracts as C
 from tidemark.__main__ import main, parser
-from tidemark.streaming import gold
+from tidemark.streaming import gold, silver
 
 
 def test_batch_jobs(spark, tmp_path):
@@ -43,10 +43,13 @@ def test_stream_jobs(spark, tmp_path):
           "--checkpoint", folder("cs"), "--drain", "--max-files", "1"])
     main(["stream-gold", "--silver", folder("s"), "--gold", folder("g"),
           "--checkpoint", folder("cg"), "--drain"])
-    assert spark.read.parquet(folder("g") + "/history").count() == 1
-    main(["compact", "--stream-gold", folder("g")])
-    main(["expire", "--stream-gold", folder("g"), "--keep", "1"])
+    assert gold.read_history(spark, folder("g")).count() == 1
+    for job in ("compact", "expire"):
+        main([job, "--stream-gold", folder("g"), "--silver", folder("s"), "--keep-epochs", "0"])
+    main(["compact", "--stream-gold", folder("g"), "--before", "2025-01-01"])
     assert gold.read_latest(spark, folder("g")).count() == 1
+    assert gold.read_history(spark, folder("g")).count() == 1
+    assert silver.read_silver(spark, folder("s")).count() == 1
 
 
 def test_defaults():

@@ -102,3 +102,46 @@ def test_fact_contract_rejects_null_key_parts(spark):
 def test_duplicate_keys(spark):
     df = _frame(spark, [(1, 1, "a"), (1, 2, "b"), (2, 1, "a"), (None, 1, "a"), (None, 2, "a")])
     assert _set(gate.duplicate_keys(df, KEYS)) == {(1, 2), (None, 2)}
+
+
+def test_a_large_batch_becomes_a_bloom_filter(spark, tmp_path):
+    """Above the broadcast threshold, few rows of the held table get past the scan."""
+    session = merge.with_runtime_filters(spark, least="1", most="1g")
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    keys = ("k", "t")
+    for name, first, last in (("held", 0, 50_000), ("staged", 49_900, 50_100)):
+        spark.range(first, last).selectExpr("cast(id as string) as k", "id as t", "id as v").write.parquet(
+            str(tmp_path / name)
+        )
+    held, staged = (session.read.parquet(str(tmp_path / name)) for name in ("held", "staged"))
+    rows = merge.insert_if_absent_staged(held, staged, keys)
+    assert sorted(r.t for r in rows.collect()) == list(range(50_000, 50_100))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "might_contain" in plan and "bloom_filter_agg" in plan
+
+    def shuffled(df):
+        """Rows that each exchange of the executed plan wrote."""
+        df.collect()
+        found = []
+
+        def walk(node):
+            if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+                return walk(node.executedPlan())
+            if "QueryStage" in node.getClass().getSimpleName():
+                return walk(node.plan())
+            if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+                found.append(node.metrics().apply("shuffleRecordsWritten").value())
+            children = node.children()
+            for i in range(children.size()):
+                walk(children.apply(i))
+
+        walk(df._jdf.queryExecution().executedPlan())
+        return max(found)
+
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plain.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
+    unfiltered = merge.insert_if_absent_staged(
+        *(plain.read.parquet(str(tmp_path / name)) for name in ("held", "staged")), keys
+    )
+    assert shuffled(unfiltered) == 50_000 and shuffled(rows) < 5_000

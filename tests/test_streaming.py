@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import contracts as C
 from tidemark.functions import messages
-from tidemark.operators import versions
+from tidemark.operators import keyed
 from tidemark.sources.streams import read_files
 from tidemark.streaming import bronze, gold, runs, silver
 from tidemark.workspace import ensure_folder
@@ -74,8 +74,8 @@ def test_gold_history_and_latest(spark, tmp_path):
     assert pipe.latest() == {"A": (5, 2.0), "B": (7, 6.0), "D": (1, 7.0)}
     pipe.run((5, "A", "M04", 8.0))
     assert [h for h in pipe.history() if h[0] == "A"] == [("A", 2, 5.0, 2), ("A", 5, 2.0, 1)]
-    rejects = spark.read.parquet(f"{pipe.gold}/rejects").collect()
-    assert [(r.series_id, r.reject_reason, r.version) for r in rejects] == [("C", "dt", 1)]
+    rejects = keyed.read_rejects(spark, pipe.gold).collect()
+    assert [(r.series_id, r.reject_reason, r[keyed.STAMP]) for r in rejects] == [("C", "dt", 1)]
 
 
 def test_unguarded_latest_takes_the_late_row(spark, tmp_path):
@@ -134,16 +134,16 @@ def test_a_failed_epoch_is_not_published(spark, tmp_path, monkeypatch):
     pipe = Pipe(spark, tmp_path)
     pipe.run((1, "A", "M01", 1.0))
     before = pipe.latest(), pipe.history()
-    real = versions.commit
+    real = keyed.publish_step
 
     def fail(*args, **kwargs):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(versions, "commit", fail)
+    monkeypatch.setattr(keyed, "publish_step", fail)
     with pytest.raises(Exception, match="lost"):
         pipe.run((2, "A", "M01", 2.0))
     assert (pipe.latest(), pipe.history()) == before
-    monkeypatch.setattr(versions, "commit", real)
+    monkeypatch.setattr(keyed, "publish_step", real)
     pipe.run()
     assert pipe.latest() == {"A": (2, 2.0)}
     assert [h[:3] for h in pipe.history()] == [("A", 1, 1.0), ("A", 2, 2.0)]
@@ -157,10 +157,154 @@ def test_folded_and_expired_tables_read_the_same(spark, tmp_path):
     assert pipe.latest() == want
     gold.fold_latest(spark, pipe.gold)
     assert pipe.latest() == want
-    assert gold.expire_latest(spark, pipe.gold, keep=1)
+    assert len(gold.compact_history(spark, pipe.gold, dt.date(2025, 1, 1))) == 1
+    assert pipe.latest() == want and len(pipe.history()) == 10
+    assert gold.expire_gold(spark, pipe.gold)
     assert pipe.latest() == want and len(pipe.history()) == 10
     pipe.run((9, "A", "M01", 9.0))
     assert pipe.latest() == {"A": (9, 9.0), "B": (4, 0.0)}
+    pipe.run((9, "A", "M01", 7.0))  # held, though its step is packed
+    assert len(pipe.history()) == 11
+
+
+def _instants(*days):
+    return [
+        (dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc), f"S{d}-{i}", 2024, "M01", "n", 1.0, None, True, 1, dt.date(2024, 1, 1))
+        for i, d in enumerate(days)
+    ]
+
+
+def _batch(spark, *days):
+    return spark.createDataFrame(_instants(*days), C.STREAM_SILVER_SCHEMA)
+
+
+def _files(root):
+    return [f for _, _, names in os.walk(root) for f in names if f.endswith(".parquet")]
+
+
+def test_packed_days_read_the_same_in_few_files(spark, tmp_path):
+    root = str(tmp_path / "g")
+    days = [(1,), (1, 2), (2, 3), (3, 1), (4,), (4, 2)]
+    for epoch, chosen in enumerate(days):
+        gold.write_gold_batch(_batch(spark, *chosen), epoch, root, run="r", fold_every=0)
+
+    def history(**window):
+        rows = gold.read_history(spark, root, **window).collect()
+        return sorted((r.series_id, r.ts_ingested.day, r.version) for r in rows)
+
+    before = history()
+    made = gold.compact_history(spark, root)
+    assert [path.split("=")[1].split("/")[0] for path in made] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert history() == before and not gold.compact_history(spark, root)
+    assert len(_files(f"{root}/history")) <= 2 * 3  # one scan may end in two tasks
+    window = dict(first=dt.date(2024, 1, 2), last=dt.date(2024, 1, 3))
+    assert history(**window) == [h for h in before if h[1] in (2, 3)]
+    assert gold.expire_gold(spark, root) == []  # the latest table has no base yet
+    gold.fold_latest(spark, root)
+    assert gold.expire_gold(spark, root) and history() == before
+    # A late row of a packed day, then all days packed again: what was taken up goes.
+    gold.write_gold_batch(_batch(spark, 5, 5, 1), 6, root, run="r", fold_every=0)
+    late = history()
+    assert len(late) == len(before) + 3
+    gold.compact_history(spark, root, before=dt.date(2025, 1, 1))
+    assert history() == late
+    gold.fold_latest(spark, root)
+    gold.expire_gold(spark, root)
+    assert history() == late and gold.read_latest(spark, root).count() == len({h[0] for h in late})
+    spans = [n for _, names, _ in os.walk(f"{root}/history") for n in names if n.startswith("_span")]
+    assert len(spans) == 5
+
+
+def test_days_with_full_files_are_not_rewritten(spark, tmp_path):
+    root = str(tmp_path / "g")
+    for epoch, chosen in enumerate([(1, 1, 1), (2,), (1,), (3,), (1,), (4,)]):
+        own = F.concat("series_id", F.lit(f"-{epoch}"))
+        rows = _batch(spark, *chosen).withColumn("series_id", own)
+        gold.write_gold_batch(rows, epoch, root, run="r", fold_every=0)
+        made = gold.compact_history(spark, root, target=4_000)  # every packed file is large enough
+        assert all("ingest_day=2024-01-01" in path or epoch for path in made)
+    first = [p for p in os.listdir(f"{root}/history/ingest_day=2024-01-01") if p.startswith("_span")]
+    assert len(first) == 3
+    assert gold.read_history(spark, root).count() == 8
+
+
+def test_a_packer_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    from tidemark.operators import compaction
+
+    root = str(tmp_path / "g")
+    for epoch in range(3):
+        gold.write_gold_batch(_batch(spark, 1, 2), epoch, root, run="r", fold_every=0)
+    before = sorted(gold.read_history(spark, root).collect())
+
+    def die(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(compaction, "publish", die)
+        with pytest.raises(RuntimeError):
+            gold.compact_history(spark, root)
+    assert sorted(gold.read_history(spark, root).collect()) == before
+    assert gold.compact_history(spark, root) and sorted(gold.read_history(spark, root).collect()) == before
+
+
+def test_packed_silver_reads_the_same_and_is_not_streamed_again(spark, tmp_path):
+    pipe = Pipe(spark, tmp_path)
+    for minute in range(4):
+        pipe.run((minute, "A", "M01", float(minute)), (minute, "B", "M02", 1.0))
+
+    def rows():
+        return sorted((r.batch_id, r.series_id, r.value) for r in silver.read_silver(spark, pipe.silver).collect())
+
+    before, served = rows(), (pipe.latest(), pipe.history())
+    assert len(silver.compact_silver(spark, pipe.silver, keep=2)) == 1 and rows() == before
+    assert not silver.compact_silver(spark, pipe.silver, keep=2)
+    assert len(silver.expire_silver(spark, pipe.silver)) == 2 and rows() == before
+    pipe.run()
+    assert (pipe.latest(), pipe.history()) == served
+    pipe.run((9, "A", "M01", 9.0))
+    silver.compact_silver(spark, pipe.silver)
+    silver.expire_silver(spark, pipe.silver)
+    assert rows() == [*before, (4, "A", 9.0)] and pipe.latest()["A"] == (9, 9.0)
+
+
+def test_read_files_are_archived(spark, tmp_path):
+    source, archive = str(tmp_path / "in"), str(tmp_path / "old")
+
+    def run():
+        runs.wait(silver.stream_silver(
+            spark, source, str(tmp_path / "s"), str(tmp_path / "c"), max_files=1, archive=archive
+        ))
+        return len([f for f in os.listdir(source) if f.endswith(".parquet")])
+
+    for minute in range(3):
+        _land(spark, source, (minute, "A", "M01", float(minute)))
+    assert run() == 1 and len(_files(archive)) == 2
+    _land(spark, source, (7, "A", "M01", 7.0))
+    assert run() == 1 and len(_files(archive)) == 3
+    assert silver.read_silver(spark, str(tmp_path / "s")).count() == 4
+
+
+def test_an_epoch_reads_its_batch_once_and_measures_it(spark, tmp_path):
+    seen = {}
+    pipe = Pipe(spark, tmp_path, on_measures=lambda measures, epoch: seen.update({epoch: measures}))
+    pipe.run((1, "A", "M01", 1.0), (2, "A", "M02", 2.0), (1, "B", "Q01", 1.0), (None, "C", "M01", 1.0))
+    pipe.run((3, "C", "Q01", 1.0))
+    pipe.run()
+    assert {e: (m.rows, m.valid, m.rejects) for e, m in seen.items()} == {
+        0: (4, 2, {"dt": 1, "ts_ingested": 1}), 1: (1, 0, {"dt": 1}),
+    }
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def count(value):
+        reads.add(1)
+        return value
+
+    batch = _batch(spark, 1, 1, 2).withColumn("value", count("value"))
+    found = gold.write_gold_batch(batch, 0, str(tmp_path / "once"))
+    assert (found.rows, reads.value) == (3, 3)
+    assert gold.write_gold_batch(_batch(spark), 1, str(tmp_path / "once")).rows == 0
+    assert keyed.stamps(spark, str(tmp_path / "once")) == [1]
 
 
 def test_a_batch_of_rejects_commits_nothing(spark, tmp_path):
@@ -168,7 +312,7 @@ def test_a_batch_of_rejects_commits_nothing(spark, tmp_path):
     pipe.run((1, "A", "Q01", 1.0), (None, "B", "M01", 1.0))
     assert gold.read_latest(spark, pipe.gold) is None
     assert gold.read_history(spark, pipe.gold) is None
-    assert spark.read.parquet(f"{pipe.gold}/rejects").count() == 2
+    assert keyed.read_rejects(spark, pipe.gold).count() == 2
     pipe.run((1, "A", "M01", 1.0))
     assert pipe.latest() == {"A": (1, 1.0)}
 
@@ -176,7 +320,7 @@ def test_a_batch_of_rejects_commits_nothing(spark, tmp_path):
 def test_empty_source_ends_cleanly(spark, tmp_path):
     pipe = Pipe(spark, tmp_path)
     pipe.run()
-    assert not os.listdir(pipe.silver)
+    assert not [name for name in os.listdir(pipe.silver) if not name.startswith((".", "_"))]
     pipe.run((1, "A", "M01", 1.0))
     assert pipe.latest() == {"A": (1, 1.0)}
 
@@ -237,18 +381,23 @@ def test_interval_trigger_and_time_bound(spark, tmp_path):
 
 
 def test_state_keeps_latest_over_batches(spark, tmp_path):
-    source = str(tmp_path / "in")
+    source, checkpoint, seen = str(tmp_path / "in"), str(tmp_path / "c"), []
 
     def run():
         points = messages.type_points(read_files(spark, source, C.STREAM_BRONZE_SCHEMA))
-        runs.wait(silver.stream_latest_state(points, str(tmp_path / "o"), str(tmp_path / "c")))
-        rows = silver.read_latest_state(spark, str(tmp_path / "o")).collect()
-        return {r.series_id: (r.ts_ingested.minute, r.value) for r in rows}
+        assert (silver.read_latest_state(spark, checkpoint) is None) == (not seen)
+        runs.wait(silver.stream_latest_state(points, checkpoint))
+        rows = silver.read_latest_state(spark, checkpoint)
+        assert sorted(rows.columns) == sorted(C.STREAM_SILVER_SCHEMA.names)
+        seen.append({r.series_id: (r.ts_ingested.minute, r.value) for r in rows.collect()})
+        return seen[-1]
 
     _land(spark, source, (5, "A", "M01", 1.0), (1, "B", "M01", 1.0))
     assert run() == {"A": (5, 1.0), "B": (1, 1.0)}
     _land(spark, source, (2, "A", "M01", 2.0), (3, "B", "M01", 2.0), (1, "C", "M01", 3.0))
     assert run() == {"A": (5, 1.0), "B": (3, 2.0), "C": (1, 3.0)}
+    before = silver.read_latest_state(spark, checkpoint, epoch=0).collect()
+    assert {r.series_id: (r.ts_ingested.minute, r.value) for r in before} == seen[0]
 
 
 def test_publish_points(spark, tmp_path):
@@ -301,6 +450,7 @@ def test_history_days_follow_utc(spark, tmp_path):
         row = (dt.datetime(2024, 1, 2, 3, tzinfo=dt.timezone.utc), "A", 2024, "M01", "n", 1.0, None, True, 1, dt.date(2024, 1, 1))
         batch = spark.createDataFrame([row], C.STREAM_SILVER_SCHEMA)
         gold.write_gold_batch(batch, 0, str(tmp_path / "g"))
-        assert os.path.isdir(tmp_path / "g" / "history" / "ingest_day=2024-01-02")
+        days = [name for _, names, _ in os.walk(tmp_path / "g") for name in names if "ingest_day" in name]
+        assert days == ["ingest_day=2024-01-02"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)

@@ -7,11 +7,12 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import os
 
 from pyspark.sql import SparkSession
 
-from tidemark.operators import versions
+from tidemark.operators import keyed
 from tidemark.plans import batch
 from tidemark.sources import payloads, streams
 from tidemark.streaming import bronze, gold, runs, silver
@@ -25,6 +26,10 @@ def _stamp() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
 
 
+def _said(seen) -> str:
+    return json.dumps({"rows": seen.rows, "rejects": seen.rejects})
+
+
 def land(spark: SparkSession, a: argparse.Namespace) -> None:
     docs = payloads.read_payloads(spark, a.payloads, a.one_per_line)
     rejects = batch.land_payloads(
@@ -36,17 +41,23 @@ def land(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def build_silver(spark: SparkSession, a: argparse.Namespace) -> None:
-    batch.build_silver(spark, a.bronze, a.silver, a.since)
+    batch.build_silver(spark, a.bronze, a.silver, a.since, a.until)
 
 
 def build_gold(spark: SparkSession, a: argparse.Namespace) -> None:
-    batch.build_gold(spark, a.silver, a.gold, a.since, a.label)
+    seen = batch.build_gold(spark, a.silver, a.gold, a.since, a.label, a.until)
+    if seen is not None:
+        print(_said(seen))
+
+
+def refresh(spark: SparkSession, a: argparse.Namespace) -> None:
+    print(json.dumps({"series": batch.refresh_fact_latest(spark, a.gold, a.view)}))
 
 
 def serve(spark: SparkSession, a: argparse.Namespace) -> None:
     fact = batch.read_gold(spark, a.gold)
     if fact is None:
-        raise SystemExit("the gold table has no committed version")
+        raise SystemExit("the gold table holds nothing")
     latest = gold.read_latest(spark, a.stream_gold) if a.stream_gold else None
     for name, view in batch.build_serving(fact, latest=latest).items():
         view.write.mode("overwrite").parquet(f"{a.out}/{name}")
@@ -57,13 +68,18 @@ def compact(spark: SparkSession, a: argparse.Namespace) -> None:
         batch.fold_gold(spark, a.gold)
     if a.stream_gold:
         gold.fold_latest(spark, a.stream_gold)
+        gold.compact_history(spark, a.stream_gold, a.before)
+    if a.silver:
+        silver.compact_silver(spark, a.silver, a.keep_epochs)
 
 
 def expire(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.gold:
-        versions.expire(spark, a.gold, a.keep)
+        keyed.expire(spark, a.gold, a.keep)
     if a.stream_gold:
-        gold.expire_latest(spark, a.stream_gold, a.keep)
+        gold.expire_gold(spark, a.stream_gold, a.keep)
+    if a.silver:
+        silver.expire_silver(spark, a.silver, a.keep_epochs)
 
 
 def _bootstrap(a: argparse.Namespace) -> str:
@@ -95,7 +111,7 @@ def stream_bronze(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def stream_silver(spark: SparkSession, a: argparse.Namespace) -> None:
     query = silver.stream_silver(
-        spark, a.bronze, a.silver, a.checkpoint, _every(a), a.max_files, a.max_bytes
+        spark, a.bronze, a.silver, a.checkpoint, _every(a), a.max_files, a.max_bytes, a.archive
     )
     runs.wait(query, _bound(a))
 
@@ -103,7 +119,8 @@ def stream_silver(spark: SparkSession, a: argparse.Namespace) -> None:
 def stream_gold(spark: SparkSession, a: argparse.Namespace) -> None:
     query = gold.stream_gold(
         spark, a.silver, a.gold, a.checkpoint, _every(a), a.max_files, a.max_bytes,
-        guard_recency=not a.incoming_wins,
+        guard_recency=not a.incoming_wins, archive=a.archive,
+        on_measures=lambda seen, epoch: print(epoch, _said(seen), flush=True),
     )
     runs.wait(query, _bound(a))
 
@@ -129,6 +146,7 @@ def parser() -> argparse.ArgumentParser:
     def file_bounds(sub):
         sub.add_argument("--max-files", type=int)
         sub.add_argument("--max-bytes")
+        sub.add_argument("--archive", help="move read files here")
 
     def broker(sub):
         sub.add_argument("--bootstrap")
@@ -142,16 +160,23 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--rejects")
     sub = job("silver", build_silver, "bronze", "silver")
     sub.add_argument("--since", type=dt.date.fromisoformat, help="first ingest date to rebuild")
+    sub.add_argument("--until", type=dt.date.fromisoformat, help="last ingest date to rebuild")
     sub = job("gold", build_gold, "silver", "gold")
     sub.add_argument("--since", type=dt.date.fromisoformat, help="first ingest date to stage")
+    sub.add_argument("--until", type=dt.date.fromisoformat, help="last ingest date to stage")
     sub.add_argument("--label", help="name of this run; one that is committed is not repeated")
+    job("refresh", refresh, "gold", "view")
     sub = job("serve", serve, "gold", "out")
     sub.add_argument("--stream-gold", help="also serve the stream's latest table")
     for name, run in (("compact", compact), ("expire", expire)):
         sub = job(name, run)
         sub.add_argument("--gold", help="batch table")
         sub.add_argument("--stream-gold", help="stream table")
-    sub.add_argument("--keep", type=int, default=2, help="commits to keep")
+        sub.add_argument("--silver", help="stream silver")
+        sub.add_argument("--keep-epochs", type=int, default=20, help="silver epochs to leave as they are")
+        if name == "compact":
+            sub.add_argument("--before", type=dt.date.fromisoformat, help="first day that is not closed")
+    sub.add_argument("--keep", type=int, default=1, help="bases to keep")
     sub = job("publish", publish, "payloads")
     sub.add_argument("--one-per-line", action="store_true")
     sub.add_argument("--latest-only", action="store_true")

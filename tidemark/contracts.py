@@ -127,6 +127,13 @@ SERVING_COLUMNS = (
     "footnotes",
 )
 
+SERVING_SCHEMA = T.StructType(
+    [
+        T.StructField(name, next(f.dataType for f in STREAM_SILVER_SCHEMA if f.name.lower() == name))
+        for name in SERVING_COLUMNS
+    ]
+)
+
 SERIES_REQUIRED = ("ts_ingested", "dt", "year", "month", "period", "value", "is_latest")
 
 SERIES_LATEST = Contract("series_latest", keys=("series_id",), required=SERIES_REQUIRED)

@@ -5,12 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.tables import JSON_OPTIONS
 
+Z = "_z"
+#: Values looked at to choose split points of a column.
+SAMPLE = 50_000
+
 
 def partition_columns(df: DataFrame) -> list[str]:
     """Ingest date when the table carries it, else calendar month."""
@@ -39,6 +43,57 @@ def write_partitioned(
     )
 
 
+def split_points(df: DataFrame, column: str, cells: int, sample: int = SAMPLE) -> list:
+    """At most ``cells`` - 1 values that part the rows evenly by ``column``, of any sortable type.
+
+    From about ``sample`` rows, chosen by a hash of the value, so that an even share of
+    the different values is looked at. They decide how well files are cut, nothing else.
+    """
+    values = df.select(F.col(f"`{column}`").alias("v")).where("v is not null")
+    counted = values.groupBy("v").count()
+    distinct = counted.count()
+    chosen = F.pmod(F.xxhash64("v"), F.lit(max(1, distinct // sample))) == 0
+    rows = counted.where(chosen).orderBy("v").collect()
+    total, seen, points = sum(row["count"] for row in rows), 0, []
+    for row in rows:
+        if seen * cells >= total * (len(points) + 1):
+            points.append(row.v)
+        seen += row["count"]
+    return points[: cells - 1]
+
+
+def z_value(ranks: Sequence[Column], bits: int) -> Column:
+    """The bits of some numbers below 2 ** ``bits``, interleaved, highest first."""
+    out = F.lit(0).cast("long")
+    for bit in range(bits):
+        for place, rank in enumerate(ranks):
+            one = F.shiftright(rank.cast("long"), bit).bitwiseAND(F.lit(1))
+            to = len(ranks) * bit + len(ranks) - 1 - place
+            out = out.bitwiseOR(F.shiftleft(one, to))
+    return out
+
+
+def write_clustered(
+    df: DataFrame, path: str, columns: Sequence[str], files: int, bits: int = 6
+) -> None:
+    """Write ``files`` files in Z-order of ``columns``, so that each holds a small box of all of them.
+
+    A filter on any of the columns then skips most files and row groups by their
+    statistics, where a sort helps its first column only. NULLs lie lowest.
+    """
+
+    def rank(column: str) -> Column:
+        value, kind = F.col(f"`{column}`"), df.schema[column].dataType
+        points = [F.lit(p).cast(kind) for p in split_points(df, column, 1 << bits)]
+        held = F.array(*points).cast(T.ArrayType(kind))
+        return F.when(value.isNull(), 0).otherwise(F.size(F.filter(held, lambda p: p <= value)))
+
+    ranks = [rank(column) for column in columns]
+    order = [Z, *columns]
+    placed = df.withColumn(Z, z_value(ranks, bits)).repartitionByRange(files, *order)
+    placed.sortWithinPartitions(*order).drop(Z).write.mode("overwrite").parquet(path)
+
+
 def append_ingest(df: DataFrame, path: str, ingest_date: dt.date, replace_day: bool = False) -> None:
     """Add rows under ``ingest_date=<day>``.
 
@@ -52,8 +107,9 @@ def append_ingest(df: DataFrame, path: str, ingest_date: dt.date, replace_day: b
         writer.mode("append").parquet(path)
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.options(**JSON_OPTIONS).mode("overwrite").json(path)
+def write_jsonl(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    writer = df.write.options(**JSON_OPTIONS).mode("overwrite")
+    writer.partitionBy(*partition_by).json(path)
 
 
 def database_columns(df: DataFrame) -> DataFrame:

@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import contracts as C
-from tidemark.functions import calendar, messages, typing
-from tidemark.operators import gate, latest, layout, merge, serving, versions
+from tidemark.functions import calendar, drift, messages, typing
+from tidemark.operators import gate, keyed, latest, layout, merge, serving
 from tidemark.plans import batch
 from tidemark.plans import standins as S
 from tidemark.sources import payloads as P
 from tidemark.sources import tables
 from tidemark.sources.streams import read_files
 from tidemark.streaming import bronze, gold, runs, silver
-from tidemark.workspace import ensure_folder, new_folder
+from tidemark.workspace import ensure_folder, folders, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -217,6 +217,22 @@ def decode_messages(spark, sf):
     return S.shown(messages.decode_messages(S.with_corrupt(encoded, broken)))
 
 
+@query
+def undeclared_fields(spark, sf):
+    """Message bodies with fields that the message schema does not know, next to known ones."""
+    props = F.from_json("props", "k int").k
+    more = F.to_json(F.struct(
+        F.col("user_id").cast("string").alias("series_id"),
+        F.col("value").cast("string").alias("value"),
+        props.alias("revision"),
+        F.when(F.col("event_type") == "view", F.struct(F.col("event_type").alias("feed"))).alias("origin"),
+    ))
+    body = F.when(F.col("event_type") == "error", F.lit("{broken")).otherwise(more)
+    rows = _events(spark, sf).select("event_id", body.alias("body"))
+    found = drift.with_undeclared(rows, "body", C.MESSAGE_SCHEMA.names)
+    return found.select("event_id", F.col("extra_revision").alias("revision"), F.col("extra_origin.feed").alias("feed"))
+
+
 @query
 def select_window(spark, sf):
     return tables.select_window(
@@ -285,9 +301,9 @@ def _feeds(spark, sf):
 def upsert_snapshot(spark, sf):
     root = new_folder(spark, "upsert")
     for feed in _feeds(spark, sf):
-        versions.append(spark, root, feed, ("user_id",))
-    versions.fold(spark, root, ("user_id",))
-    return versions.read_current(spark, root, ("user_id",)).select(*EVENT_COLUMNS)
+        keyed.append(spark, root, feed, ("user_id",))
+    keyed.fold(spark, root, ("user_id",))
+    return keyed.read(spark, root, ("user_id",)).select(*EVENT_COLUMNS)
 
 
 @query
@@ -371,6 +387,15 @@ def partition_append_scan(spark, sf):
     return tables.read_partitioned(spark, path)
 
 
+@query
+def partition_window_scan(spark, sf):
+    """A window of a table with one folder per month; the others are not listed."""
+    rows = _orders(spark, sf).withColumn("ingest_date", F.trunc("o_orderdate", "month"))
+    path = new_folder(spark, "window")
+    layout.write_partitioned(rows, path, ["ingest_date"])
+    return tables.read_partitioned(spark, path, "ingest_date", "1997-03-01", "1998-02-15")
+
+
 @query
 def partition_overwrite(spark, sf):
     rows = _orders(spark, sf).withColumns(
@@ -381,6 +406,14 @@ def partition_overwrite(spark, sf):
     return tables.read_partitioned(spark, path)
 
 
+@query
+def clustered_layout(spark, sf):
+    """The whole table written in Z-order of day and category."""
+    path = new_folder(spark, "clustered")
+    layout.write_clustered(_orders(spark, sf), path, ["o_orderdate", "o_orderpriority"], 16)
+    return spark.read.parquet(path)
+
+
 @query
 def schema_fallback(spark, sf):
     path = f"{sf}/orders.parquet"
@@ -425,6 +458,23 @@ def fact_latest(spark, sf):
     return serving.fact_latest(_fact(spark, sf))
 
 
+@query
+def fact_latest_maintained(spark, sf):
+    """The view kept by changes only, over three arrivals of ingest months, the last after a fold."""
+    root = new_folder(spark, "view")
+    layout.write_partitioned(S.fact_raw(_orders(spark, sf)), f"{root}/bronze", ["ingest_date"])
+    batch.build_silver(spark, f"{root}/bronze", f"{root}/silver")
+    cuts = [None, dt.date(1997, 1, 1), dt.date(1999, 1, 1), None]
+    for i, (first, after) in enumerate(zip(cuts, cuts[1:])):
+        last = after and after - dt.timedelta(days=1)
+        batch.build_gold(spark, f"{root}/silver", f"{root}/gold", first, str(i), last)
+        if i == 2:
+            batch.fold_gold(spark, f"{root}/gold")
+            keyed.expire(spark, f"{root}/gold")
+        batch.refresh_fact_latest(spark, f"{root}/gold", f"{root}/view")
+    return batch.read_fact_latest(spark, f"{root}/view")
+
+
 @query
 def series_monthly(spark, sf):
     return serving.series_monthly(_fact(spark, sf))
@@ -563,18 +613,84 @@ def stream_gold_latest_unguarded(spark, sf):
 
 
 @query
-def stream_state_latest(spark, sf):
+def history_compacted(spark, sf):
+    """History of three epochs whose closed days are packed, while a fourth lies open; then expired."""
+    root = _run_gold(spark, sf)
+    gold.fold_latest(spark, root)
+    gold.compact_history(spark, root)
+    gold.expire_gold(spark, root)
+    rows = gold.read_history(spark, root)
+    return S.shown(rows.withColumn("batch_id", F.col("version") - 1).drop("version"))
+
+
+@query
+def silver_compacted(spark, sf):
+    """Silver of three epochs, the first two packed and expired."""
+    root = new_folder(spark, "silver")
+    for arrival in _arrivals(spark, sf, root):
+        arrival.write.mode("append").parquet(f"{root}/bronze")
+        _run_silver(spark, root)
+    silver.compact_silver(spark, f"{root}/silver")
+    silver.expire_silver(spark, f"{root}/silver")
+    return S.shown(silver.read_silver(spark, f"{root}/silver"))
+
+
+@query
+def stream_archived_source(spark, sf):
+    """Silver over three arrivals; bronze files that were read go to an archive.
+
+    The rows are those of silver; each says how many arrivals left the source.
+    """
+    root = new_folder(spark, "archived")
+    for arrival in _arrivals(spark, sf, root):
+        arrival.coalesce(1).write.mode("append").parquet(f"{root}/bronze")
+        runs.wait(
+            silver.stream_silver(
+                spark, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoint",
+                archive=f"{root}/archive",
+            )
+        )
+    left = len(folders(spark, f"{root}/bronze/*.parquet"))
+    rows = silver.read_silver(spark, f"{root}/silver")
+    return S.shown(rows).withColumn("archived", F.lit(len(S.SHIFTS) - left))
+
+
+def _run_state(spark, sf):
     """State over three arrivals, one after the other."""
     root = new_folder(spark, "state")
     for arrival in _arrivals(spark, sf, root):
         arrival.write.mode("append").parquet(f"{root}/bronze")
         source = read_files(spark, f"{root}/bronze", C.STREAM_BRONZE_SCHEMA)
-        points = messages.type_points(source)
-        runs.wait(silver.stream_latest_state(points, f"{root}/out", f"{root}/checkpoint"))
-    rows = silver.read_latest_state(spark, f"{root}/out")
+        runs.wait(silver.stream_latest_state(messages.type_points(source), f"{root}/checkpoint"))
+    return f"{root}/checkpoint"
+
+
+def _shown_state(rows):
     return S.shown(rows, "series_id", "ts_ingested", "year", "period", "periodName", "value")
 
 
+@query
+def stream_state_latest(spark, sf):
+    return _shown_state(silver.read_latest_state(spark, _run_state(spark, sf)))
+
+
+@query
+def stream_state_read(spark, sf):
+    """The state as it was after the second of three arrivals."""
+    return _shown_state(silver.read_latest_state(spark, _run_state(spark, sf), epoch=1))
+
+
+@query
+def gate_metrics(spark, sf):
+    """Rows and rejects by reason of the fact run, as they were measured while it was written."""
+    root = new_folder(spark, "metrics")
+    layout.write_partitioned(S.fact_raw(_orders(spark, sf)), f"{root}/bronze", ["ingest_date"])
+    batch.build_silver(spark, f"{root}/bronze", f"{root}/silver")
+    seen = batch.build_gold(spark, f"{root}/silver", f"{root}/gold")
+    figures = [("rows", seen.rows), ("valid", seen.valid), *sorted(seen.rejects.items())]
+    return spark.createDataFrame(figures, "measure string, n long")
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest valid value per series and period, from raw JSON messages."""
     return S.shown(_valid_serving(spark, sf_dir))

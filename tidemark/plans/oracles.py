@@ -112,6 +112,13 @@ _WHOLE_SILVER = _latest_points(
     "true", "series_id, year, period", "ts desc", _SILVER + ", 0 as batch_id"
 )
 
+_FACT_LATEST = f"""
+  select distinct on (category_code, data_type_code, time_slot_id, is_seasonally_adjusted)
+    time, dt, year, month, is_seasonally_adjusted, category_code, data_type_code, time_slot_id,
+    cell_value as value, error_data, ingest_date
+  from ({_FACT_ROWS})
+  order by category_code, data_type_code, time_slot_id, is_seasonally_adjusted, dt desc"""
+
 ORACLES: dict[str, str] = {
     "decode_json_props": """
   select event_id, cast(json_extract_string(props, '$.k') as int) as k from events""",
@@ -157,6 +164,12 @@ ORACLES: dict[str, str] = {
     case when ok then "periodName" end as "periodName", case when ok then value end as value,
     case when ok then notes end as notes, ok and is_latest as is_latest
   from (select *, period <> 'Q01' as ok from ({_MESSAGES}))""",
+    "undeclared_fields": """
+  select event_id,
+    case when event_type <> 'error' then cast(json_extract_string(props, '$.k') as bigint) end
+      as revision,
+    case when event_type = 'view' then 'view' end as feed
+  from events""",
     "select_window": """
   select o_orderkey, o_orderpriority, o_totalprice from orders
   where o_orderdate >= timestamp '1997-01-01' and o_orderdate <= timestamp '2000-12-31'
@@ -205,6 +218,7 @@ ORACLES: dict[str, str] = {
     "partition_overwrite": """
   select *, cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month
   from orders""",
+    "clustered_layout": "select * from orders",
     "schema_fallback": "select * from orders",
     "job_batch_bronze": f"select *, date '2024-01-31' as ingest_date from ({_RAW_FACT})",
     "bronze_to_silver": f"""
@@ -212,12 +226,8 @@ ORACLES: dict[str, str] = {
     error_data, time, dt as date, year, month, ingest_date
   from ({_TYPED_FACT})""",
     "silver_to_gold": _FACT_ROWS,
-    "fact_latest": f"""
-  select distinct on (category_code, data_type_code, time_slot_id, is_seasonally_adjusted)
-    time, dt, year, month, is_seasonally_adjusted, category_code, data_type_code, time_slot_id,
-    cell_value as value, error_data, ingest_date
-  from ({_FACT_ROWS})
-  order by category_code, data_type_code, time_slot_id, is_seasonally_adjusted, dt desc""",
+    "fact_latest": _FACT_LATEST,
+    "fact_latest_maintained": _FACT_LATEST,
     "series_monthly": f"""
   select dt, year, month, category_code, data_type_code, time_slot_id, is_seasonally_adjusted,
     cell_value as value
@@ -267,6 +277,37 @@ ORACLES: dict[str, str] = {
     "stream_gold_latest_unguarded": _latest_points(
         _VALID, "series_id", "shift desc, ts desc", _SERVED
     ),
+    "history_compacted": _latest_points(
+        _VALID, "shift, series_id", "ts desc", _SERVED + ", cast(shift as int) as batch_id"
+    ),
+    "silver_compacted": _latest_points(
+        "true",
+        "shift, series_id, year, period",
+        "ts desc",
+        _SILVER + ", cast(shift as int) as batch_id",
+    ),
+    "stream_archived_source": _latest_points(
+        "true",
+        "shift, series_id, year, period",
+        "ts desc",
+        _SILVER + ", cast(shift as int) as batch_id, 2 as archived",
+    ),
+    "stream_state_read": _latest_points(
+        "shift < 2", "series_id", "ts desc", 'series_id, ts, year, period, "periodName", value'
+    ),
+    "gate_metrics": f"""
+  with r as (
+    select case when dt is null then 'dt' when is_seasonally_adjusted is null
+      then 'is_seasonally_adjusted' end as reason
+    from ({_FACT}))
+  select 'rows' as measure, count(*) as n from r
+  union all
+  select 'valid', count(*) from r where reason is null
+  union all
+  select reason, count(*) from r where reason is not null group by reason""",
+    "partition_window_scan": """
+  select *, cast(date_trunc('month', o_orderdate) as date) as ingest_date from orders
+  where o_orderdate >= timestamp '1997-03-01' and o_orderdate < timestamp '1998-03-01'""",
     "stream_state_latest": _latest_points(
         "true", "series_id", "ts desc", 'series_id, ts, year, period, "periodName", value'
     ),

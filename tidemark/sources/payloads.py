@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import typing
 
 TABULAR_TYPE = "array<array<string>>"
+#: Column of the texts of payloads that are turned away.
+REJECTED = "_rejected"
 
 # Field names of the nested payload, and its words for "latest".
 POINT_FIELDS = ("year", "period", "periodName", "value", "latest", "footnotes")
@@ -52,7 +54,7 @@ def _last_position(header: Column, name: str) -> Column:
 def tabular_records(
     payloads: DataFrame, columns: Sequence[str], column: str = "payload"
 ) -> DataFrame:
-    """Tabular payloads to one row per record.
+    """Tabular payloads to one row per record; payloads of another form give none.
 
     The first inner list names the columns of the rest. The longer of header and
     record is cut, and of repeated header names the last one that is left counts.
@@ -61,21 +63,41 @@ def tabular_records(
     short records. The document comes out of a generator, through which no filter is
     pushed, so it is parsed once whatever is asked of its records.
     """
-    tables = payloads.select(F.explode(F.array(_table(F.col(column)))).alias("t"))
+    found = records_or_rejects(payloads, columns, column)
+    return found.where(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def records_or_rejects(
+    payloads: DataFrame, columns: Sequence[str], column: str = "payload"
+) -> DataFrame:
+    """The rows of ``tabular_records``, and one row for each payload that it turns away.
+
+    ``REJECTED`` holds the text of such a payload and is NULL in records, so one parse
+    serves both.
+    """
+    text = F.col(column)
+    tables = payloads.select(text, F.explode(F.array(_table(text))).alias("t"))
+    broken = F.coalesce(F.size("t"), F.lit(0)) < 1
     header = F.get(F.col("t"), F.lit(0))
     places = F.array(*[_last_position(F.col("header"), c) for c in columns])
-    body = F.slice("t", 2, F.size("t"))
-    parts = tables.select(header.alias("header"), body.alias("body"))
-    placed = parts.select("header", places.alias("at"), "body")
-    rows = placed.select("header", "at", F.explode("body").alias("row"))
+    # A broken payload has one row without cells; a table without records has none.
+    rows = F.when(broken, F.array(F.array().cast("array<string>"))).otherwise(
+        F.slice("t", 2, F.size("t"))
+    )
+    # A NULL document is rejected too, as an empty text.
+    rejected = F.when(broken, F.coalesce(text, F.lit("")))
+    parts = tables.select(header.alias("header"), rows.alias("body"), rejected.alias(REJECTED))
+    placed = parts.select("header", places.alias("at"), "body", REJECTED)
+    rows = placed.select("header", "at", F.explode("body").alias("row"), REJECTED)
     short = F.size("row") < F.size("header")
     cut = F.slice("header", 1, F.size("row"))
 
     def cell(i: int, name: str) -> Column:
         at = F.when(short, _last_position(cut, name)).otherwise(F.get(F.col("at"), F.lit(i)))
-        return F.get(F.col("row"), at).alias(name)
+        held = F.col(REJECTED).isNull()
+        return F.when(held, F.get(F.col("row"), at)).alias(name)
 
-    return rows.select(*[cell(i, c) for i, c in enumerate(columns)])
+    return rows.select(*[cell(i, c) for i, c in enumerate(columns)], REJECTED)
 
 
 def _series(payloads: DataFrame, column: str) -> DataFrame:

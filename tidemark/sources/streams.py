@@ -53,12 +53,17 @@ def read_files(
     schema: T.StructType,
     max_files: int | None = None,
     max_bytes: str | None = None,
+    archive: str | None = None,
+    max_age: str | None = None,
 ) -> DataFrame:
     """Parquet files of ``path`` as a stream with a declared schema.
 
     The folder is created if absent, so a job may start before its upstream.
     ``max_files`` or ``max_bytes`` bounds a micro-batch when a backlog is drained;
-    one file per batch is ``max_files=1``.
+    one file per batch is ``max_files=1``. With ``archive``, files go to that folder,
+    under their own path, after a batch behind theirs is committed, so that the source
+    folder and its listings stay small; one source folder may have one such reader only.
+    Files older than ``max_age`` against the newest are not read any more.
     """
     if max_files is not None and max_bytes is not None:
         raise ValueError("give max_files or max_bytes, not both")
@@ -67,4 +72,8 @@ def read_files(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if max_age is not None:
+        reader = reader.option("maxFileAge", max_age)
     return reader.parquet(ensure_folder(spark, path))

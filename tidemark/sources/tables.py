@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.calendar import ISO_MICROS
+from tidemark.workspace import folders
 
 # Six fraction digits both ways: the default writing cuts clock readings to milliseconds.
 JSON_OPTIONS = {"timestampNTZFormat": ISO_MICROS}
@@ -28,17 +30,41 @@ def _bound(df: DataFrame, column: str, value) -> Column:
     return F.lit(str(value)).cast(df.schema[column].dataType)
 
 
+def partition_folders(
+    spark: SparkSession, root: str, column: str, since: dt.date | None, until: dt.date | None
+) -> list[str]:
+    """The folders of a day partition between two days; only their names are looked at."""
+    found = []
+    for path in folders(spark, f"{root}/{column}=*"):
+        try:
+            day = dt.date.fromisoformat(path.rsplit("=", 1)[1])
+        except ValueError:  # rows without a day
+            continue
+        if (since is None or day >= since) and (until is None or day <= until):
+            found.append(path)
+    return found
+
+
 def read_partitioned(
-    spark: SparkSession, root: str, column: str | None = None, since: str | None = None
+    spark: SparkSession,
+    root: str,
+    column: str | None = None,
+    since: str | None = None,
+    until: str | None = None,
 ) -> DataFrame:
-    """A partitioned table; with ``since`` only the partitions from that value on are read.
+    """A partitioned table, or the partitions of a range of days of it.
 
-    Planning lists the files of the whole table, as it does for any path.
+    With a bound, the day folders in the range are named to the scan, so planning
+    lists their files only, however many days the table has. Without one in the range,
+    the table's schema comes from any other, and there are no rows.
     """
-    table = spark.read.parquet(root)
-    if column is None or since is None:
-        return table
-    return table.where(F.col(column) >= _bound(table, column, since))
+    if column is None or (since is None and until is None):
+        return spark.read.parquet(root)
+    bounds = [None if x is None else dt.date.fromisoformat(str(x)) for x in (since, until)]
+    reader = spark.read.option("basePath", root)
+    if chosen := partition_folders(spark, root, column, *bounds):
+        return reader.parquet(*chosen)
+    return reader.parquet(*partition_folders(spark, root, column, None, None)[:1] or [root]).limit(0)
 
 
 def schema_or(spark: SparkSession, path: str, fallback: T.StructType) -> T.StructType:

@@ -1,14 +1,17 @@
 """Silver stream to gold: a history of arrivals and the latest row per series.
 
-A micro-batch claims a version, adds the newest row of every series to the history
-unless its key is held, appends the same rows to the latest table as changes, and
-commits both at once. The commit names the run (the query's checkpoint) and the
-epoch, so a repeated epoch is skipped and a new checkpoint goes on where the table
-stands. An epoch writes what it brings and nothing else; see ``versions``.
+A micro-batch is one step of a keyed table (see ``keyed``): the newest valid row of
+every series as changes of the latest table, those whose key the history does not
+hold yet, and the rejected rows. One rename publishes all three, so they never
+disagree. A repeated epoch is skipped, and a new checkpoint goes on where the table
+stands. An epoch reads its batch once and writes what it brings; days that are
+closed are packed by ``compact_history``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,17 +20,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import contracts as C
 from tidemark.functions import calendar
-from tidemark.operators import gate, merge, versions
+from tidemark.operators import compaction, gate, keyed, merge
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.layout import rebalance
 from tidemark.sources.streams import read_files
 from tidemark.streaming.runs import start
 from tidemark.streaming.silver import run_of
-from tidemark.workspace import exists
+from tidemark.workspace import delete, folders, hidden
 
-DAY = "ingest_day"
+DAY, HISTORY, VERSION = "ingest_day", "history", "version"
+#: Days between the first and the last of a batch up to which their folders are named one by one.
+NAMED_DAYS = 400
 KEYS = ("series_id",)
 OnBatch = Callable[[DataFrame, int], None]
+OnMeasures = Callable[[gate.Measures, int], None]
 LATEST_ORDER = ("ts_ingested", "year", "period", "value", "periodname", "is_latest", "footnotes")
 
 
@@ -40,34 +46,50 @@ def latest_series_of(rows: DataFrame) -> DataFrame:
     return latest_per_key(rows, ("series_id",), LATEST_ORDER[:1], LATEST_ORDER[1:])
 
 
-def _history(spark: SparkSession, gold: str, seen: versions.Commit) -> DataFrame | None:
-    """Committed history rows with their day and version."""
-    if not exists(spark, f"{gold}/history"):
+def _places(
+    spark: SparkSession, gold: str, first: dt.date | None = None, last: dt.date | None = None
+) -> dict[str, compaction.Place]:
+    """The folders of each day, of all days or of those between two; others are not listed."""
+    days = "*"
+    if first is not None and (last - first).days < NAMED_DAYS:
+        named = (first + dt.timedelta(days=i) for i in range((last - first).days + 1))
+        days = "{" + ",".join(day.isoformat() for day in named) + "}"
+    found: dict[str, compaction.Place] = defaultdict(compaction.Place)
+    for path in folders(spark, f"{gold}/{HISTORY}/{DAY}={days}/_span=*"):
+        found[path.split(f"{DAY}=")[1].split("/")[0]].packed.append(compaction.Packed.at(path))
+    steps = f"{gold}/steps/{keyed.STAMP}=*/{keyed.RUN}=*/{keyed.STEP}=*"
+    for path in folders(spark, f"{steps}/{keyed.KIND}={HISTORY}/{DAY}={days}"):
+        found[path.split(f"{DAY}=")[1]].loose[keyed.number_of(path)] = path
+    return dict(found)
+
+
+def _read_places(spark: SparkSession, places: dict[str, compaction.Place]) -> DataFrame | None:
+    paths = [path for place in places.values() for path in place.paths()]
+    if not paths:
         return None
-    return spark.read.parquet(f"{gold}/history").where(seen.sees(F.col(versions.VERSION)))
+    return compaction.read_paths(spark, paths, C.SERVING_SCHEMA, VERSION, keyed.STAMP)
 
 
-def append_history(
-    spark: SparkSession, gold: str, staged: DataFrame, seen: versions.Commit, version: int
+def write_new_history(
+    spark: SparkSession, gold: str, staged: str, span: dict, folder: str
 ) -> None:
-    """Add the staged rows whose (series, instant) is not held yet, under ``version``.
+    """The staged rows whose (series, instant) is not held yet.
 
-    The instant is part of the key, so held rows are looked up on the days of the
-    batch only: between its first and last day, and joined by day.
+    The instant is part of the key, so only the days of the batch are looked up, and
+    of them, where the batch is too large to broadcast, what a Bloom filter lets pass.
     """
-    rows, held = staged, _history(spark, gold, seen)
+    spark = merge.with_runtime_filters(spark)
+    rows = staged = spark.read.parquet(staged).select(*C.SERVING_COLUMNS)
+    keys = C.SERIES_HISTORY.keys
+    held = _read_places(spark, _places(spark, gold, span["first_day"], span["last_day"]))
     if held is not None:
-        span = staged.agg(F.min(DAY).alias("first"), F.max(DAY).alias("last")).first()
-        near = held.where(F.col(DAY).between(F.lit(span["first"]), F.lit(span["last"])))
-        keys = (*C.SERIES_HISTORY.keys, DAY)
-        rows = merge.insert_if_absent_staged(near, staged, keys).select(*staged.columns)
-    rows = rows.withColumn(versions.VERSION, F.lit(version))
-    (
-        rebalance(rows, (DAY,))
-        .write.mode("append")
-        .partitionBy(DAY, versions.VERSION)
-        .parquet(f"{gold}/history")
-    )
+        rows = merge.insert_if_absent_staged(held, staged, keys).select(*staged.columns)
+    rows = rows.withColumn(DAY, _utc_day())
+    rebalance(rows, (DAY,)).write.partitionBy(DAY).parquet(folder)
+
+
+def _utc_day():
+    return calendar.utc_wall_clock(F.col("ts_ingested")).cast("date")
 
 
 def write_gold_batch(
@@ -77,50 +99,43 @@ def write_gold_batch(
     guard_recency: bool = True,
     on_batch: OnBatch | None = None,
     run: str | None = None,
-    fold_every: int = versions.FOLD_EVERY,
-) -> None:
-    """History and latest of one micro-batch; a committed (run, epoch) is skipped.
+    fold_every: int = keyed.FOLD_EVERY,
+) -> gate.Measures | None:
+    """History, latest and rejects of one micro-batch; a published (run, epoch) is skipped.
 
-    The batch is read once: it is kept while its rejects and its newest rows are
-    written.
+    The batch is read once: its rejected rows and the newest of the others come out of
+    one ranking, and what it measured is taken in flight and returned (None if skipped).
     """
     spark = batch.sparkSession
-    latest = f"{gold}/latest"
-    seen = versions.last_commit(spark, latest)
-    if not seen.has(run, epoch):
-        order = LATEST_ORDER if guard_recency else ()
-        versions.check_order(seen, order)
-        version = versions.claim(spark, latest, seen)
-        rows = serving_rows(batch).persist()
-        try:
-            gate.rejected_rows(rows, C.SERIES_HISTORY).write.parquet(
-                f"{gold}/rejects/{versions.VERSION}={version}"
-            )
-            changes = latest_series_of(gate.valid_rows(rows, C.SERIES_HISTORY))
-            versions.write_changes(latest, changes, version)
-        finally:
-            rows.unpersist()
-        staged = _changes(spark, latest, version)
-        if staged.isEmpty():
-            return
-        day = calendar.utc_wall_clock(F.col("ts_ingested")).cast("date")
-        append_history(spark, gold, staged.withColumn(DAY, day), seen, version)
-        seen = versions.commit(
-            spark, latest, seen, version, order=order, runs=versions.remembered(seen, run, epoch)
-        )
-        seen = versions.fold_if_due(spark, latest, KEYS, seen, fold_every)
-    else:
-        version = seen.version
-    if on_batch is not None and exists(spark, _folder(latest, version)):
-        on_batch(_changes(spark, latest, version), epoch)
-
-
-def _folder(latest: str, version: int) -> str:
-    return f"{latest}/changes/{versions.VERSION}={version}"
-
-
-def _changes(spark: SparkSession, latest: str, version: int) -> DataFrame:
-    return spark.read.parquet(_folder(latest, version)).select(*C.SERVING_COLUMNS)
+    keyed.settle_order(spark, gold, LATEST_ORDER if guard_recency else ())
+    if run is not None and keyed.is_published(spark, gold, run, epoch):
+        if on_batch is not None:
+            again = f"{gold}/steps/*/{keyed.RUN}={run}/{keyed.STEP}={epoch}/{keyed.KIND}={keyed.CHANGES}"
+            if folders(spark, again):
+                on_batch(spark.read.parquet(again).select(*C.SERVING_COLUMNS), epoch)
+        return None
+    made, inside = keyed.prepare(gold, run, epoch)
+    rows, measure = gate.measured(
+        serving_rows(batch), C.SERIES_HISTORY, first_day=F.min(_utc_day()), last_day=F.max(_utc_day())
+    )
+    newest = gate.newest_or_rejected(
+        rows, C.SERIES_HISTORY, KEYS, LATEST_ORDER[:1], LATEST_ORDER[1:]
+    )
+    kind = F.when(F.col(gate.REASON).isNull(), keyed.CHANGES).otherwise(keyed.REJECTS)
+    newest.withColumn(keyed.KIND, kind).write.partitionBy(keyed.KIND).parquet(inside)
+    seen = measure()
+    if not seen.rows:
+        delete(spark, made)
+        return seen
+    changes = f"{inside}/{keyed.KIND}={keyed.CHANGES}"
+    if seen.valid:
+        write_new_history(spark, gold, changes, seen.more, f"{inside}/{keyed.KIND}={HISTORY}")
+    stamp = keyed.publish_step(spark, gold, made)
+    if on_batch is not None and seen.valid:
+        published = changes.replace(made, f"{gold}/steps/{keyed.STAMP}={stamp}")
+        on_batch(spark.read.parquet(published).select(*C.SERVING_COLUMNS), epoch)
+    keyed.fold_if_due(spark, gold, KEYS, stamp, fold_every)
+    return seen
 
 
 def stream_gold(
@@ -133,7 +148,9 @@ def stream_gold(
     max_bytes: str | None = None,
     guard_recency: bool = True,
     on_batch: OnBatch | None = None,
-    fold_every: int = versions.FOLD_EVERY,
+    fold_every: int = keyed.FOLD_EVERY,
+    on_measures: OnMeasures | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Serve silver as history and latest.
 
@@ -141,32 +158,68 @@ def stream_gold(
     database upsert does; it is fixed by a table's first batch. ``on_batch`` gets the
     staged rows and the epoch after the commit, for example to copy them to a
     database; it may see an epoch twice, and only the last one of a run again.
+    ``on_measures`` gets what an epoch measured: rows, and rejects by reason. With
+    ``archive``, silver files go there once a later epoch has been committed.
     """
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
         run = run_of(spark, checkpoint)
-        write_gold_batch(batch, epoch, gold, guard_recency, on_batch, run, fold_every)
+        seen = write_gold_batch(batch, epoch, gold, guard_recency, on_batch, run, fold_every)
+        if on_measures is not None and seen is not None:
+            on_measures(seen, epoch)
 
-    rows = read_files(spark, silver, C.STREAM_SILVER_SCHEMA, max_files, max_bytes)
+    rows = read_files(spark, silver, C.STREAM_SILVER_SCHEMA, max_files, max_bytes, archive)
     writer = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return start(writer, every)
 
 
-def read_history(spark: SparkSession, gold: str) -> DataFrame | None:
-    """Committed history with the version that brought each row."""
-    seen = versions.last_commit(spark, f"{gold}/latest")
-    history = _history(spark, gold, seen) if seen.version else None
-    return None if history is None else history.select(*C.SERVING_COLUMNS, versions.VERSION)
+def read_history(
+    spark: SparkSession, gold: str, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame | None:
+    """History with the step that brought each row; with two days, only those between are listed."""
+    history = _read_places(spark, _places(spark, gold, first, last))
+    return None if history is None else history.select(*C.SERVING_COLUMNS, VERSION)
 
 
 def read_latest(spark: SparkSession, gold: str) -> DataFrame | None:
-    latest = versions.read_current(spark, f"{gold}/latest", KEYS)
+    latest = keyed.read(spark, gold, KEYS)
     return None if latest is None else latest.select(*C.SERVING_COLUMNS)
 
 
 def fold_latest(spark: SparkSession, gold: str) -> None:
-    versions.fold(spark, f"{gold}/latest", KEYS)
+    keyed.fold(spark, gold, KEYS)
+
 
+def compact_history(
+    spark: SparkSession,
+    gold: str,
+    before: dt.date | None = None,
+    target: int = compaction.TARGET,
+) -> list[str]:
+    """Pack the closed days of the history: those before a day, else all but the newest.
 
-def expire_latest(spark: SparkSession, gold: str, keep: int = 2) -> list[str]:
-    return versions.expire(spark, f"{gold}/latest", keep)
+    Rows that come later for such a day are packed by the next call. The new folders.
+    """
+    newest = max([0, *keyed.stamps(spark, gold)])
+    places = _places(spark, gold)
+    closed = sorted(places)[:-1] if before is None else sorted(d for d in places if d < str(before))
+    made = []
+    for day in closed:
+        place = places[day]
+        place.loose = {n: path for n, path in place.loose.items() if n <= newest}
+        root = f"{gold}/{HISTORY}/{DAY}={day}"
+        new = compaction.pack(
+            spark, place, newest, root, hidden(gold), C.SERVING_SCHEMA, VERSION, keyed.STAMP, target
+        )
+        made += [new] if new else []
+    return made
+
+
+def expire_gold(spark: SparkSession, gold: str, keep: int = 1) -> list[str]:
+    """Delete what a base and the packed history have taken up; see ``keyed.expire``."""
+    places = _places(spark, gold).values()
+    open_ = {n for place in places for n in place.open()}
+    stale = [path for place in places for path in place.expired() if f"/{HISTORY}/" in path]
+    for path in stale:
+        delete(spark, path)
+    return stale + keyed.expire(spark, gold, keep, open_.__contains__)

@@ -48,26 +48,55 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
     return path
 
 
-def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small text file unless it exists; False if it does."""
-    fs, target = hadoop_path(spark, path)
-    if fs.exists(target):
-        return False
+def publish(spark: SparkSession, made: str, final: str) -> bool:
+    """Move a finished file or folder into place by one rename; False if its place is taken.
+
+    Nothing is overwritten and nobody sees half of it, on file systems that rename
+    folders as one step.
+    """
+    fs, source = hadoop_path(spark, made)
+    _, target = hadoop_path(spark, final)
+    fs.mkdirs(target.getParent())
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
     try:
-        out = fs.create(target, False)
+        context.rename(source, target, plain)
     except Py4JJavaError:
         if fs.exists(target):
             return False
         raise
-    out.write(bytearray(text, "utf-8"))
-    out.close()
     return True
 
 
-def names(spark: SparkSession, pattern: str) -> list[str]:
-    """Last names of the paths that a pattern matches."""
+def hidden(root: str) -> str:
+    """A fresh path in a table's folder that readers of the table do not see."""
+    return f"{root}/_made-{uuid.uuid4().hex}"
+
+
+def settle_text(spark: SparkSession, path: str, text: str) -> str:
+    """Put a small text file there unless there is one; what it holds then."""
+    if not exists(spark, path):
+        made = hidden(path.rsplit("/", 1)[0])
+        fs, target = hadoop_path(spark, made)
+        out = fs.create(target)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+        if not publish(spark, made, path):
+            delete(spark, made)
+    return read_text(spark, path)
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern matches, in order."""
     fs, jvm_path = hadoop_path(spark, pattern)
-    return [f.getPath().getName() for f in fs.globStatus(jvm_path) or []]
+    return sorted(f.getPath().toString() for f in fs.globStatus(jvm_path) or [])
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path."""
+    fs, jvm_path = hadoop_path(spark, path)
+    return fs.getContentSummary(jvm_path).getLength()
 
 
 def delete(spark: SparkSession, path: str) -> None:
