@@ -45,7 +45,7 @@ RANGE, FAN_IN = 1 << 16, 8
 FREQUENT = 1 << 20
 #: Distinct pairs that a task sums before it passes them on.
 SUMMED = 1 << 20
-CACHED = 150_000
+CACHED = 100_000
 
 SPACE = "▁"
 #: What a token stands behind: the start, the group before, its neighbour, the other side.
@@ -145,7 +145,7 @@ class Aligner:
         import sentencepiece
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = ByteWords(path_a)
+        self.a = ByteWords(path_a, cached=20_000)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         size = self.b.get_piece_size()
         self.b_bytes = [self._piece(i) for i in range(size)]
@@ -262,8 +262,40 @@ class Aligner:
     def part(self, text: str, lo: int, hi: int) -> Fragment:
         """The fragment of the tokens that end behind byte ``lo`` of a window, up to ``hi``.
 
-        The window starts and ends at certain cuts.
+        The window starts and ends at certain cuts. Units that lie in the range come
+        from memory; only those across its ends are looked at token by token.
         """
+        if not is_plain(text):
+            return self._slice(text, lo, hi)
+        units = _UNITS.findall(text)
+        ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
+        first, last = np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi, "left")
+        start = int(ends[first - 1]) if first else 0
+        if first >= last:  # within one unit, or up to its end
+            return self._slice(units[first], lo - start, hi - start)
+        found = Fragment(([], []))
+        if start < lo:
+            found = self._slice(units[first], lo - start, int(ends[first]) - start)
+            first += 1
+        whole = int(ends[last]) == hi
+        if inner := units[first : last + whole]:
+            found = compose(found, self._range(inner))
+        if not whole:
+            start = int(ends[last - 1])
+            found = compose(found, self._slice(units[last], 0, hi - start))
+        return found
+
+    def _range(self, units: list[str]) -> Fragment:
+        """Whole units as the fragment of their range, which does not know that it starts at a cut."""
+        self._units.fill(set(units))
+        found = self._whole("", units)
+        if found is None:
+            raise Broken
+        first, _, rest = found.groups.partition(b";")
+        prefix = tuple([int(i) for i in side.split(b",")] for side in first.split(b"|"))
+        return Fragment(prefix, rest, found.links[8:], ([], []), found.n_a, found.n_b)
+
+    def _slice(self, text: str, lo: int, hi: int) -> Fragment:
         a, b = self.tokens(text)
         a_ends, b_ends = self.ends(a, b)
         in_a, in_b = (a_ends > lo) & (a_ends <= hi), (b_ends > lo) & (b_ends <= hi)
@@ -381,7 +413,10 @@ def range_fragments(docs: DataFrame, path_a: str, path_b: str, size: int = RANGE
             columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), _ARROW)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], *columns], schema.names)
 
-    dealt = docs.mapInArrow(part, window).repartition("doc_key", "place")
+    # A stated number of tasks: small windows would be put together by their bytes, but
+    # what counts is the work on them.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = docs.mapInArrow(part, window).repartition(tasks, "doc_key", "place")
     return dealt.mapInArrow(align, schema)
 
 
@@ -478,7 +513,10 @@ def align_documents(
     numbered = read.where(long).select(F.monotonically_increasing_id().alias("doc_key"), "*")
     folder = new_folder(spark, "fragments")
     range_fragments(numbered, path_a, path_b, size).write.parquet(folder)
-    whole = reduced(spark.read.parquet(folder), fan_in)
+    # Written before it goes on, so that no task has two Python workers, each with its tables.
+    whole_folder = new_folder(spark, "whole-fragments")
+    reduced(spark.read.parquet(folder), fan_in).write.parquet(whole_folder)
+    whole = spark.read.parquet(whole_folder)
     return read.where(~long).mapInArrow(short, schema).unionByName(
         whole.mapInArrow(finish, schema)
     )
