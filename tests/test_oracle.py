@@ -14,7 +14,9 @@ ORACLES = oracles.ORACLES
 
 
 # A global aggregate brings one partial row per task together; nothing else may.
-ONE_ROW_AGGREGATES = {("dim_date", "SinglePartition"), ("gold_counts", "SinglePartition")}
+ONE_ROW_AGGREGATES = {
+    (name, "SinglePartition") for name in ("dim_date", "gold_counts", "sketched_counts")
+}
 
 
 PARSED_ONCE = ("latest_view", "database_staging_rows", "decode_messages", "tabular_payload_records")

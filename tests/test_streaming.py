@@ -454,3 +454,41 @@ def test_history_days_follow_utc(spark, tmp_path):
         assert days == ["ingest_day=2024-01-02"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_sketches_of_steps_merge_and_stay(spark, tmp_path):
+    """Distinct series and quantiles over all steps, from the sketches alone, also of expired steps."""
+    root = str(tmp_path / "g")
+    assert gold.read_sketched(spark, root) is None
+    base = spark.range(6_000).select(
+        F.lit(dt.datetime(2024, 1, 1)).alias("ts_ingested"),
+        F.concat(F.lit("S"), F.col("id") % 4_000).alias("series_id"),
+        F.lit(2024).alias("year"),
+        F.when(F.col("id") % 10 == 0, "Q01").otherwise("M01").alias("period"),
+        F.lit("n").alias("periodName"),
+        F.col("id").cast("double").alias("value"),
+        F.lit(None).cast("array<string>").alias("footnotes"),
+        F.lit(True).alias("is_latest"),
+        F.when(F.col("id") % 10 > 0, 1).alias("month"),
+        F.when(F.col("id") % 10 > 0, F.lit(dt.date(2024, 1, 1))).alias("dt"),
+    )
+    for epoch in range(3):
+        part = base.where(F.floor(F.col("value") / 2_000) == epoch)
+        gold.write_gold_batch(part, epoch, root, run="r", fold_every=0)
+    gold.write_gold_batch(base.where("period = 'Q01'").limit(5), 3, root, run="r", fold_every=0)
+
+    def check():
+        rows = gold.read_sketched(spark, root, ranks=(0.25, 0.5, 1.0))
+        found = rows.first()
+        assert (found.rows, found.numbers) == (5_400, 5_400)
+        assert abs(found["keys"] - 3_600) <= 3 * 3_600 * 1.04 / 64
+        assert all(abs(q - want) <= 0.02 * 6_000 for q, want in zip(found.quantiles, (1_500, 3_000, 6_000)))
+        kept = keyed.read_kept(spark, root, keyed.SKETCHES)
+        assert all("sketches" in path for path in kept.inputFiles()) and kept.count() == 3
+
+    check()
+    gold.fold_latest(spark, root)
+    gold.compact_history(spark, root, dt.date(2025, 1, 1))
+    assert gold.expire_gold(spark, root)
+    assert keyed.stamps(spark, root) == [4]
+    check()

@@ -29,8 +29,12 @@ def _reason(contract: Contract) -> Column:
     return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in contract.not_null])
 
 
+def is_valid(contract: Contract) -> Column:
+    return ~_any_null(contract.not_null)
+
+
 def valid_rows(df: DataFrame, contract: Contract) -> DataFrame:
-    return df.where(~_any_null(contract.not_null))
+    return df.where(is_valid(contract))
 
 
 def rejected_rows(df: DataFrame, contract: Contract) -> DataFrame:

@@ -25,7 +25,7 @@ from tidemark.operators.layout import rebalance
 from tidemark.workspace import delete, exists, folders, hidden, publish, read_text, settle_text
 
 STAMP, RUN, STEP, KIND = "_stamp", "_run", "_step", "_kind"
-CHANGES, REJECTS = "changes", "rejects"
+CHANGES, REJECTS, SKETCHES = "changes", "rejects", "sketches"
 FOLD_EVERY = 64
 
 
@@ -123,15 +123,20 @@ def read(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame | Non
     return latest_per_key(changes, keys, order, order).drop(STAMP)
 
 
-def read_rejects(spark: SparkSession, root: str) -> DataFrame | None:
-    """Rows that the steps turned away, with the step's number."""
+def read_kept(spark: SparkSession, root: str, kind: str) -> DataFrame | None:
+    """Rows of a kind that outlives its steps, with the step's number."""
     old = None
-    if folders(spark, f"{root}/rejects/{STAMP}=*"):
-        old = spark.read.parquet(f"{root}/rejects")
-    new = read_kind(spark, root, REJECTS)
+    if folders(spark, f"{root}/{kind}/{STAMP}=*"):
+        old = spark.read.parquet(f"{root}/{kind}")
+    new = read_kind(spark, root, kind)
     return new if old is None else old if new is None else old.unionByName(new)
 
 
+def read_rejects(spark: SparkSession, root: str) -> DataFrame | None:
+    """Rows that the steps turned away."""
+    return read_kept(spark, root, REJECTS)
+
+
 def fold_if_due(
     spark: SparkSession,
     root: str,
@@ -166,7 +171,7 @@ def expire(
 ) -> list[str]:
     """Delete bases but the newest ``keep``, and steps that the oldest of these has taken up.
 
-    Rejected rows stay. Steps that are ``needed`` for something else stay, and so does the
+    Rejected rows and sketches stay. Steps that are ``needed`` for something else stay, and so does the
     newest. Frames that were planned over deleted files stop working.
     """
     if keep < 1:
@@ -177,8 +182,9 @@ def expire(
     for stamp in stamps(spark, root)[:-1]:
         if stamp <= upto and not (needed and needed(stamp)):
             stale.append(f"{root}/steps/{STAMP}={stamp}")
-            for rejects in folders(spark, f"{stale[-1]}/{RUN}=*/{STEP}=*/{KIND}={REJECTS}"):
-                publish(spark, rejects, f"{root}/rejects/{STAMP}={stamp}")
+            for kind in (REJECTS, SKETCHES):
+                for kept in folders(spark, f"{stale[-1]}/{RUN}=*/{STEP}=*/{KIND}={kind}"):
+                    publish(spark, kept, f"{root}/{kind}/{STAMP}={stamp}")
     for path in stale:
         delete(spark, path)
     return stale

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import contracts as C
 from tidemark.functions import calendar, drift, messages, typing
-from tidemark.operators import gate, keyed, latest, layout, merge, serving
+from tidemark.operators import gate, keyed, latest, layout, merge, serving, sketches
 from tidemark.plans import batch
 from tidemark.plans import standins as S
 from tidemark.sources import payloads as P
@@ -623,6 +623,33 @@ def history_compacted(spark, sf):
     return S.shown(rows.withColumn("batch_id", F.col("version") - 1).drop("version"))
 
 
+@query
+def sketched_counts(spark, sf):
+    """Series and rows of three epochs by their merged sketches, held against the tables.
+
+    ``n`` is exact; ``within`` tells whether the sketch is as near as it says, by three
+    standard errors of the distinct count, and by the rank error of the median.
+    """
+    root = _run_gold(spark, sf)
+    found = gold.read_sketched(spark, root).first()
+    series = gold.read_latest(spark, root).count()
+    silver_rows = spark.read.parquet(f"{root}/../silver")
+    valid = gate.valid_rows(gold.serving_rows(silver_rows), C.SERIES_HISTORY)
+    ranks = valid.agg(
+        F.count("*").alias("n"),
+        (F.count_if(F.col("value") < found.quantiles[0]) / F.count("*")).alias("low"),
+        (F.count_if(F.col("value") <= found.quantiles[0]) / F.count("*")).alias("high"),
+    )
+    near = abs(found["keys"] - series) <= 3 * sketches.DISTINCT_ERROR * series
+    off = F.lit(sketches.RANK_ERROR)
+    values = ranks.select(
+        F.lit("values").alias("measure"),
+        "n",
+        ((F.col("low") - off <= 0.5) & (F.col("high") + off >= 0.5) & (F.col("n") == found.numbers)).alias("within"),
+    )
+    return values.unionByName(spark.createDataFrame([("series", series, near)], values.schema))
+
+
 @query
 def silver_compacted(spark, sf):
     """Silver of three epochs, the first two packed and expired."""

@@ -280,6 +280,12 @@ ORACLES: dict[str, str] = {
     "history_compacted": _latest_points(
         _VALID, "shift, series_id", "ts desc", _SERVED + ", cast(shift as int) as batch_id"
     ),
+    "sketched_counts": f"""
+  select 'series' as measure, count(distinct series_id) as n, true as within
+  from ({_MESSAGES}) where {_VALID}
+  union all
+  select 'values', count(*), true from (
+    {_latest_points(_VALID, "shift, series_id, year, period", "ts desc", "series_id")})""",
     "silver_compacted": _latest_points(
         "true",
         "shift, series_id, year, period",

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import contracts as C
 from tidemark.functions import calendar
-from tidemark.operators import compaction, gate, keyed, merge
+from tidemark.operators import compaction, gate, keyed, merge, sketches
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.layout import rebalance
 from tidemark.sources.streams import read_files
@@ -115,8 +115,14 @@ def write_gold_batch(
                 on_batch(spark.read.parquet(again).select(*C.SERVING_COLUMNS), epoch)
         return None
     made, inside = keyed.prepare(gold, run, epoch)
+    valid = gate.is_valid(C.SERIES_HISTORY)
+    sketched = sketches.aggregates(*(F.when(valid, F.col(c)) for c in ("series_id", "value")))
     rows, measure = gate.measured(
-        serving_rows(batch), C.SERIES_HISTORY, first_day=F.min(_utc_day()), last_day=F.max(_utc_day())
+        serving_rows(batch),
+        C.SERIES_HISTORY,
+        first_day=F.min(_utc_day()),
+        last_day=F.max(_utc_day()),
+        **sketched,
     )
     newest = gate.newest_or_rejected(
         rows, C.SERIES_HISTORY, KEYS, LATEST_ORDER[:1], LATEST_ORDER[1:]
@@ -129,6 +135,7 @@ def write_gold_batch(
         return seen
     changes = f"{inside}/{keyed.KIND}={keyed.CHANGES}"
     if seen.valid:
+        sketches.write(spark, seen.valid, seen.more, f"{inside}/{keyed.KIND}={keyed.SKETCHES}")
         write_new_history(spark, gold, changes, seen.more, f"{inside}/{keyed.KIND}={HISTORY}")
     stamp = keyed.publish_step(spark, gold, made)
     if on_batch is not None and seen.valid:
@@ -181,6 +188,12 @@ def read_history(
     return None if history is None else history.select(*C.SERVING_COLUMNS, VERSION)
 
 
+def read_sketched(spark: SparkSession, gold: str, ranks=(0.5,)) -> DataFrame | None:
+    """Valid rows that ever came, about how many series they have, and quantiles of their values."""
+    kept = keyed.read_kept(spark, gold, keyed.SKETCHES)
+    return None if kept is None else sketches.merged(kept, ranks)
+
+
 def read_latest(spark: SparkSession, gold: str) -> DataFrame | None:
     latest = keyed.read(spark, gold, KEYS)
     return None if latest is None else latest.select(*C.SERVING_COLUMNS)
