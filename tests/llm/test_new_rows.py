@@ -256,7 +256,7 @@ def test_ranges_cover_a_text_once():
         assert sum(len(w.encode()) for w, *_ in found) <= 3 * len(data) + 200
 
 
-@pytest.mark.parametrize("size,fan_in,frequent", [(1 << 16, 8, 1 << 20), (48, 2, 30), (200, 3, 1)])
+@pytest.mark.parametrize("size,fan_in,frequent", [(1 << 16, 8, 1 << 20), (3_000, 2, 30), (20_000, 3, 1)])
 def test_aligned_documents(spark, libraries, size, fan_in, frequent):
     rows = [*ROWS, (900, "▁ mark", "x", "s", 1), (901, "▁" + LONG[0], "x", "s", 1)]
     texts = [row[1] or "" for row in rows]

@@ -44,6 +44,42 @@ def test_top_k(spark, scale, shard):
     assert set(got) == {i for i in whole if i % 10 == 0}
 
 
+def test_cells_are_even_and_boxes_bound():
+    rng = np.random.default_rng(4)
+    points = np.floor(rng.normal(size=(3_000, 6)) * 256)
+    points[:900] = points[0]
+    cells = topk.Cells.cut(points, 16)
+    found = cells.of(points)
+    assert 8 <= len(set(found.tolist())) <= 16
+    assert np.bincount(found[900:]).max() < 800 and len(set(found[:900].tolist())) == 1
+    tree = topk.Tree(points, np.arange(3_000), leaf=32)
+    queries = np.floor(rng.normal(size=(20, 6)) * 256)
+    reach = topk.bounds(queries, tree.low, tree.high)
+    for (start, end), bound in zip(tree.parts, reach.T):
+        assert ((queries @ tree.points[start:end].T).max(1) <= bound).all()
+    assert sorted(tree.ids.tolist()) == list(range(3_000))
+
+
+def test_far_points_are_passed_over(spark):
+    """Clustered vectors: most products are never taken; the results are exact all the same."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 8)) * 6
+    points = (centres[rng.integers(0, 40, 6_000)] + rng.normal(size=(6_000, 8)) * 0.2).astype(np.float32)
+    vectors = topk.quantised(_table(spark, points).where("vec_id < 900 or vec_id >= 908"))
+    queries = vectors.where("vec_id % 100 = 1")
+    taken = spark.sparkContext.accumulator(0)
+    rows = topk.top_k(vectors, queries, 5, shard_rows=400, taken=taken).collect()
+    whole = np.floor(256 * points.astype(np.float64))
+    keep = np.array([i for i in range(6_000) if not 900 <= i < 908])
+    for q in range(1, 6_000, 100):
+        if not 900 <= q < 908:
+            scores = whole[keep] @ whole[q]
+            order = sorted((-s, i) for s, i in zip(scores, keep.tolist()) if i != q)[:5]
+            got = sorted((r["rank"], r.vec_id, r.score) for r in rows if r.query_id == q)
+            assert [(i, s) for _, i, s in got] == [(i, -s) for s, i in order]
+    assert taken.value < 0.3 * queries.count() * len(keep)
+
+
 def test_top_k_of_few(spark):
     none = topk.quantised(spark.createDataFrame([], SCHEMA))
     assert topk.top_k(none, none).count() == 0
