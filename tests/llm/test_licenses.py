@@ -81,3 +81,71 @@ def test_hard_rows(spark):
         assert set(filter(None, row.base_labels.split(","))) <= set(row.labels.split(","))
     assert scanned[-1].labels == "mit" and scanned[0].labels == "" and scanned[0].score == 0
     assert licenses.digest(licenses.scan_licenses(documents(spark, []))).count() == 0
+
+
+def _small_scanner(rng):
+    words = "abcde"
+    templates = [(f"t{i}", " ".join(rng.choices(words, k=rng.randint(6, 14)))) for i in range(3)]
+    base = [("base", "a b a")]
+    return licenses.Scanner(base, templates), words, [text for _, text in [*templates, *base]]
+
+
+def test_matching_statistics_are_the_longest_matches():
+    """At each place the longest run of any template that ends there; kept where none goes on."""
+    rng = random.Random(5)
+    for _ in range(60):
+        scanner, words, texts = _small_scanner(rng)
+        held = [[scanner.ids[w] for w in licenses.words_of(text)] for text in texts]
+        runs = {tuple(h[i:j]) for h in held for i in range(len(h)) for j in range(i + 1, len(h) + 1)}
+        ids = [scanner.ids[w.encode()] for w in rng.choices([w for w in words if w.encode() in scanner.ids], k=40)]
+        longest = [
+            max((n for n in range(end + 1) if tuple(ids[end - n : end]) in runs), default=0)
+            for end in range(len(ids) + 1)
+        ]
+        want = [
+            (end, longest[end])
+            for end in range(1, len(ids) + 1)
+            if longest[end] >= licenses.MIN_MATCH
+            and (end == len(ids) or longest[end + 1] != longest[end] + 1)
+        ]
+        matches = []
+        scanner._stream(ids, 0, matches, [])
+        assert [(end, length) for end, length, _ in matches] == want
+
+
+def test_chains_cover_as_much_as_any():
+    rng = random.Random(8)
+    for _ in range(40):
+        scanner, words, _ = _small_scanner(rng)
+        text = " ".join(rng.choices(words + "q", weights=[4] * 5 + [1], k=60))
+        ids = [scanner.ids.get(w.encode(), 0) for w in text.split()]
+        matches = []
+        stretch = []
+        for at, word in enumerate([*ids, 0]):
+            if word:
+                stretch.append(word)
+            elif stretch:
+                scanner._stream(stretch, at - len(stretch), matches, [])
+                stretch = []
+        best = 0.0
+        for template, size in enumerate(scanner.sizes):
+            pieces = sorted(
+                (end - n, last + 1 - n, n)
+                for end, n, state in matches
+                for t, last in scanner.ends[state]
+                if t == template
+            )
+
+            def longest(i):
+                start, place, n = pieces[i]
+                before = [
+                    longest(j)
+                    for j, (s, p, m) in enumerate(pieces[:i])
+                    if s + m <= start <= s + m + licenses.MAX_GAP and p + m <= place
+                ]
+                return n + max(before, default=0)
+
+            best = max([best, *(longest(i) / size for i in range(len(pieces)))])
+        spans = scanner._spans(matches) if matches else []
+        found = max((span.coverage for span in spans), default=0.0)
+        assert found == (best if best >= licenses.MIN_COVERAGE else 0.0)
