@@ -55,14 +55,18 @@ class Memory(dict):
             self.update(zip(new, self._make(new)))
 
 
-#: What a worker keeps from task to task: the last object made of each kind.
+#: What a worker keeps from task to task: the last object made, of whatever kind.
 _kept: dict = {}
 
 
 def kept(kind: str, key, make: Callable):
-    """The worker's object of a kind, made anew when the key is another."""
+    """The worker's object of a kind, made anew when the key is another.
+
+    Objects of other kinds are let go, so that a job's stages do not add up in a worker.
+    """
     held = _kept.get(kind)
     if held is None or held[0] != key:
+        _kept.clear()
         held = _kept[kind] = (key, make())
     return held[1]
 
