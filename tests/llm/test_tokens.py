@@ -10,6 +10,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, packing, token_counts
+from tidemark.llm.rows import Memory
 
 from .helpers import HARD, clashing, documents, fuzz
 
@@ -47,6 +48,23 @@ def test_word_ids_are_those_of_the_library():
         assert ids == _ids(library, text).tobytes(), repr(text[:60])
 
 
+class Unwalked(Memory):
+    """Fails where all that is remembered would be gone through."""
+
+    def __iter__(self):
+        raise AssertionError("a miss went through the whole memory")
+
+
+def test_a_miss_looks_only_at_its_own_key():
+    """As for every new pre-token of op11_vector_packing."""
+    made = []
+    held = Unwalked(lambda keys: [made.append(key) or len(key) for key in keys], 10)
+    words = ["a", "to", "the", "a", "this", "to", "a", "these", "the", "these"]
+    assert [held[word] for word in words] == list(map(len, words))
+    held.fill({"a", "those"})
+    assert held["those"] == 5 and sorted(made) == sorted({*words, "those"})
+
+
 def test_hard_rows(spark):
     docs = clashing(documents(spark))
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)

@@ -38,8 +38,9 @@ class Memory(dict):
         return self[key]
 
     def fill(self, keys: set) -> None:
-        """Make all ``keys`` known at once."""
-        unknown = keys.difference(self)
+        """Make all ``keys`` known at once, in time that grows with them alone."""
+        # Not keys.difference(self), which goes through all of a dict of another class.
+        unknown = {key for key in keys if key not in self}
         if len(self) + len(unknown) > self._most:
             self._old = dict(self)
             self.clear()
