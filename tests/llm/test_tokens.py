@@ -1,15 +1,17 @@
 """Token counts, byte-level BPE and packing against the libraries themselves."""
 
 import hashlib
+import weakref
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, packing, token_counts
+from tidemark.llm import bpe, packing, rows, token_counts
 from tidemark.llm.rows import Memory
 
 from .helpers import HARD, clashing, documents, fuzz
@@ -65,6 +67,41 @@ def test_a_miss_looks_only_at_its_own_key():
     assert held["those"] == 5 and sorted(made) == sorted({*words, "those"})
 
 
+def test_a_memory_is_bounded_in_characters():
+    held = Memory(lambda keys: list(map(len, keys)), 100)
+    for n in range(300):
+        key = f"{n:03}" * 200
+        assert held[key] == len(key) and len(held) + len(held._old) <= 4
+    short = [f"{n:02}" for n in range(100)]
+    held.fill(set(short))
+    assert len(held) == 100 and held._length == 200
+
+
+def test_portions_are_bounded_in_bytes():
+    texts = ["é" * 30, None, "", *["x" * 9] * 600, "y" * 500, "z" * 70, None]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    found = [part.column(1).to_pylist() for part in rows.portions([batch], 1, 100)]
+    assert [text for part in found for text in part] == texts
+    for part in found:
+        sizes = [len((text or "").encode()) for text in part]
+        assert sum(sizes[:-1]) <= 100 and len(part) <= rows.ROWS
+    assert list(rows.portions([batch.slice(0, 0)], 1, 100)) == []
+
+
+def test_what_a_worker_lets_go_of_is_freed():
+    class Owner:
+        def __init__(self):
+            self.known = Memory(self.work, 10)
+
+        def work(self, keys):
+            return keys
+
+    held = weakref.ref(rows.kept("owner", 1, Owner))
+    assert held() is rows.kept("owner", 1, Owner)
+    rows.let_go()
+    assert held() is None
+
+
 def test_hard_rows(spark):
     docs = clashing(documents(spark))
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)

@@ -26,7 +26,6 @@ import hashlib
 import os
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -36,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.byte_words import LETTER, ByteWords, is_plain
-from tidemark.llm.rows import Memory, slices, texts_of
+from tidemark.llm.rows import Memory, kept, let_go, portions, slices, texts_of
 from tidemark.workspace import new_folder
 
 #: Bytes of a range, and fragments composed by one step of the tree.
@@ -302,10 +301,9 @@ class Aligner:
         return fragment(a[in_a], a_ends[in_a], b[in_b], b_ends[in_b])
 
 
-@lru_cache(maxsize=2)
 def aligner(path_a: str, path_b: str) -> Aligner:
-    """One per worker, kept from task to task."""
-    return Aligner(path_a, path_b)
+    """One per worker, kept from task to task until a stage lets go of it."""
+    return kept("aligner", (path_a, path_b), lambda: Aligner(path_a, path_b))
 
 
 def ranges(text: str, size: int = RANGE) -> list[tuple[str, int, int]]:
@@ -491,7 +489,7 @@ def align_documents(
 
     def short(batches):
         held = aligner(path_a, path_b)
-        for part in slices(batches):
+        for part in portions(batches, 1):
             texts = texts_of(part.column(1))
             found = iter(held.wholes([" " + text for text in texts if text]))
             rows = [_result(next(found) if text else None, digest) for text in texts]
@@ -526,6 +524,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     """pair, n (links that hold it) and best (whether no pair of its second id has more)."""
 
     def add(batches):
+        let_go()
         pairs, times, held = [], [], 0
         for part in slices(batches):
             for p, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
@@ -604,6 +603,7 @@ def with_pair_counts(aligned: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     )
 
     def look_up(batches):
+        let_go()
         keys, counted, best = shared.value
         for part in slices(batches):
             sums, rest = [], []
